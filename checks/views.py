@@ -103,6 +103,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def oracle(names, body: str) -> str:
     """DuckDB text: the needed views, then the query. `names` is one string of view names."""
-    head = with_clause(names.split(), {t: t for t in BASE}, "duckdb")
     body = body.strip()
+    if not names:
+        return body
+    head = with_clause(names.split(), {t: t for t in BASE}, "duckdb")
     return head + (",\n" + body[5:] if body[:5].lower() == "with " else "\n" + body)
