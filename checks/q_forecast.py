@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 
 from checks.q_pace import KEPT_SQL, stays_plan
 from checks.q_rows import CONFIG, aware, confirmed
-from checks.registry import check, r6, rounded
+from checks.registry import check, off_edge, r6, rounded
 from pacecast.config import FarFieldConfig, RunConfig
 from pacecast.operators import clean, features, fit, monitor, pace, predict, repair, results, versions
 from pacecast.plans import backtest, farfield, inference, training
 
 ORIGIN = date(2001, 6, 15)
 FIRST, LAST, STEP = date(2000, 1, 1), date(2000, 12, 1), 14
-QUANTILES = [r6(F.col("offsets")[i]).alias(n) for i, n in enumerate(("q_low", "q_med", "q_high"))]
+
+
+def quantile_columns():
+    return [r6(F.col("offsets")[i]).alias(n) for i, n in enumerate(("q_low", "q_med", "q_high"))]
+
 
 # Pickup of every hotel, stay, distance and target lead, from the stays that training keeps.
 PICKUP_SQL = """
@@ -38,7 +42,7 @@ params as (select HotelID, d, l, quantile_cont(pickup, 0.1) as lo, quantile_cont
 )
 def m01(v):
     params = training.train(stays_plan(v, ORIGIN), CONFIG)
-    return params.select("HotelID", "day_ahead", "target_lead", *QUANTILES)
+    return params.select("HotelID", "day_ahead", "target_lead", *quantile_columns())
 
 
 # Paths to forecast at ORIGIN: booked pace at the origin plus pickup, per point.
@@ -230,7 +234,7 @@ pm as (select HotelID, stay_date, eval_start, eval_end,
     for n in (7, 14, 28)
 ) + "\n from bt group by 1, 2, 3, 4)"
 METRICS = [f"{m}{n}" for n in (7, 14, 28) for m in ("SMAPE", "MAE")]
-ROUNDED_METRICS = ", ".join(f"round({m}, 6) + 0.0 as {m}" for m in METRICS)
+ROUNDED_METRICS = ", ".join(f"round({m} + 1.3e-7, 6) + 0.0 as {m}" for m in METRICS)
 
 
 @check(
@@ -240,7 +244,7 @@ ROUNDED_METRICS = ", ".join(f"round({m}, 6) + 0.0 as {m}" for m in METRICS)
     + f" select HotelID, stay_date, eval_start, eval_end, {ROUNDED_METRICS} from pm",
 )
 def g08(v):
-    return rounded(monitor.path_metrics(backtest_rows(v)), *METRICS)
+    return off_edge(monitor.path_metrics(backtest_rows(v)), *METRICS)
 
 
 @check(
@@ -248,13 +252,13 @@ def g08(v):
     "confirmed hotel_config",
     "with " + BACKTEST_SQL.strip() + "," + PATH_METRICS_SQL + """
        select eval_start, eval_end, HotelID, HotelName, """
-    + ", ".join(f"round(avg({m}), 6) + 0.0 as {m}" for m in METRICS)
+    + ", ".join(f"round(avg({m}) + 1.3e-7, 6) + 0.0 as {m}" for m in METRICS)
     + """ from pm join hotel_config using (HotelID)
        group by grouping sets ((HotelID, HotelName), (eval_start, eval_end, HotelID, HotelName), (eval_start, eval_end))""",
 )
 def g10(v):
     named = monitor.name_metrics(monitor.path_metrics(backtest_rows(v)), v.hotel_config)
-    return rounded(monitor.metric_summary(named, METRICS), *METRICS)
+    return off_edge(monitor.metric_summary(named, METRICS), *METRICS)
 
 
 # Hold-out: fit on stays before each hotel's last 28 days, predict those days at their own distance.
@@ -294,10 +298,10 @@ def m11(v):
     "g13_holdout_metrics",
     "confirmed aware",
     "with " + HOLDOUT_SQL.strip()
-    + f" select HotelID, round(avg({SAPE_SQL}), 6) + 0.0 as SMAPE, round(avg(abs(y_true - y_pred)), 6) + 0.0 as MAE from ho group by 1",
+    + f" select HotelID, round(avg({SAPE_SQL}) + 1.3e-7, 6) + 0.0 as SMAPE, round(avg(abs(y_true - y_pred)) + 1.3e-7, 6) + 0.0 as MAE from ho group by 1",
 )
 def g13(v):
-    return rounded(monitor.holdout_metrics(holdout_table(v)), "SMAPE", "MAE")
+    return off_edge(monitor.holdout_metrics(holdout_table(v)), "SMAPE", "MAE")
 
 
 FAR = FarFieldConfig(lags=())
@@ -323,7 +327,7 @@ far as (select fb.HotelID, p, quantile_cont(target - base, 0.1) as lo, quantile_
 def m05(v):
     split = features.horizon_split(training.stays_from(aware(v), FAR, 100), 91)
     params = training.train(split.where(~F.col("is_test")), FAR)
-    return params.select("HotelID", "day_ahead", "target_lead", *QUANTILES)
+    return params.select("HotelID", "day_ahead", "target_lead", *quantile_columns())
 
 
 @check(

@@ -15,10 +15,10 @@ from pacecast.sources.tables import forecast_scan
 EVAL_START, EVAL_END = date(1995, 1, 1), date(2001, 8, 31)
 
 ACTUALS_SQL = """
-both as (select * from (select c.*, false as pms_sync_off from confirmed c union all
+flagged as (select * from (select c.*, false as pms_sync_off from confirmed c union all
     select c.*, true from confirmed c where channel <> 'PMS') u where stay_date >= date '1995-01-01'),
 daily as (select HotelID, stay_date, confirmation_date, pms_sync_off, sum(revenue) as revenue, sum(rooms) as rooms
-  from both group by 1, 2, 3, 4),
+  from flagged group by 1, 2, 3, 4),
 actuals as (select HotelID, stay_date, confirmation_date, pms_sync_off,
   cast(stay_date - confirmation_date as int) as booking_lead,
   sum(revenue) over w as revenue, sum(rooms) over w as rooms from daily

@@ -65,5 +65,10 @@ def r6(column: str | Column) -> Column:
     return F.round(c, 6) + F.lit(0.0)
 
 
+def off_edge(df: DataFrame, *columns: str) -> DataFrame:
+    """Six decimals of means and ratios: these can end on exactly half a unit, so a small shift goes first."""
+    return df.withColumns({c: r6(F.col(c) + F.lit(1.3e-7)) for c in columns})
+
+
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: r6(c) for c in columns})

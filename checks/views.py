@@ -53,7 +53,8 @@ select HotelID, stay_date, stay_date - 28 as run_date, stay_date - 28 + i as boo
 from (select HotelID, stay_date, {path} as i from hotel_stays) p""",
     "room_forecasts": """
 select HotelID, stay_date, run_date, booking_date, pms_sync_off, day_index,
- y_med*(1.0/4500) as y_med, y_upper*(1.0/4500) as y_upper, y_lower*(1.0/4500) as y_lower from forecasts""",
+ y_med/cast(4500 as double) as y_med, y_upper/cast(4500 as double) as y_upper,
+ y_lower/cast(4500 as double) as y_lower from forecasts""",
     "model_versions": """
 select concat('m', cast(o_custkey as {S})) as model_name, cast(o_orderkey as int) as version,
  case when o_orderkey % 3 = 0 then 'yes' else 'no' end as stage_dev,

@@ -25,9 +25,12 @@ def _in_path_order(params: DataFrame, *values: str) -> DataFrame:
     return params.groupBy(*GROUP).agg(F.array_sort(F.collect_list(item)).alias("_path"))
 
 
-def _spread(path: Column) -> dict[str, Column]:
-    found = {name: F.transform(path, lambda s, n=name: s[n]) for name in RAW}
-    return found
+def _field(path: Column, name: str) -> Column:
+    return F.transform(path, lambda point: point[name])
+
+
+def _pickup(slot: int) -> Column:
+    return F.transform("_path", lambda point: F.col("base") + point["offsets"][slot])
 
 
 def pickup_predict(rows: DataFrame, params: DataFrame, quantiles=(0.1, 0.5, 0.9)) -> DataFrame:
@@ -36,8 +39,8 @@ def pickup_predict(rows: DataFrame, params: DataFrame, quantiles=(0.1, 0.5, 0.9)
     joined = rows.join(_in_path_order(params, "offsets"), list(GROUP), "inner")
     return joined.withColumns(
         {
-            "target_leads": F.transform("_path", lambda s: s["target_lead"]),
-            **{n: F.transform("_path", lambda s, i=i: F.col("base") + s["offsets"][i]) for n, i in slots.items()},
+            "target_leads": _field(F.col("_path"), "target_lead"),
+            **{name: _pickup(slot) for name, slot in slots.items()},
         }
     ).drop("_path")
 
@@ -62,7 +65,10 @@ def linear_predict(rows: DataFrame, params: DataFrame, quantiles=(0.1, 0.5, 0.9)
     empty = F.array().cast("array<struct<y_lower_raw:double,y_med_raw:double,y_upper_raw:double>>")
     walked = joined.withColumn("_walk", F.aggregate("_path", empty, step))
     return walked.withColumns(
-        {"target_leads": F.transform("_path", lambda s: s["target_lead"]), **_spread(F.col("_walk"))}
+        {
+            "target_leads": _field(F.col("_path"), "target_lead"),
+            **{name: _field(F.col("_walk"), name) for name in RAW},
+        }
     ).drop("_path", "_walk")
 
 
