@@ -6,12 +6,13 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from checks.q_pace import KEPT_SQL, stays_plan
+from checks.q_pace import KEPT_SQL, booked_span, holidays, stays_plan
 from checks.q_rows import CONFIG, aware, confirmed
 from checks.registry import check, off_edge, r6, rounded
 from pacecast.config import FarFieldConfig, RunConfig
 from pacecast.operators import clean, features, fit, monitor, pace, predict, repair, results, versions
 from pacecast.plans import backtest, farfield, inference, training
+from pacecast.sources import tables
 
 ORIGIN = date(2001, 6, 15)
 FIRST, LAST, STEP = date(2000, 1, 1), date(2000, 12, 1), 14
@@ -351,14 +352,15 @@ SHORT_PATH = RunConfig(horizon=7, snapshots=7, lags=(7, 14, 28), pace_features=7
 
 @check("m02_linear_quantile_fit")
 def m02(v):
-    return training.train(stays_plan(v, ORIGIN, SHORT), SHORT, "linear")
+    return training.train(stays_plan(v, ORIGIN, SHORT, calendar_features=True), SHORT, "linear")
 
 
 @check("m04_recursive_path")
 def m04(v):
-    params = training.train(stays_plan(v, ORIGIN, SHORT_PATH), SHORT_PATH, "linear")
-    hotels = v.hotel_config.withColumn("inference_length", F.lit(7))
-    matrix = inference.inference_matrix(confirmed(v), SHORT_PATH, hotels, ORIGIN)
+    params = training.train(stays_plan(v, ORIGIN, SHORT_PATH, calendar_features=True), SHORT_PATH, "linear")
+    hotels = tables.clean_hotels(v.hotel_config).withColumn("inference_length", F.lit(7))
+    days_off = holidays(v, *booked_span(v))
+    matrix = inference.inference_matrix(confirmed(v), SHORT_PATH, hotels, ORIGIN, days_off)
     return inference.forecast(matrix, params, SHORT_PATH, "run1", datetime(2001, 6, 15), "linear")
 
 

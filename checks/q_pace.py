@@ -37,31 +37,33 @@ def digest(column: str = "pace"):
 
 
 def slots(df, column: str):
-    return df.select(*pace.KEYS, F.posexplode(column).alias("lead", "value")).withColumn("value", r6("value"))
+    return df.select(*pace.KEYS, F.posexplode_outer(column).alias("lead", "value")).withColumn("value", r6("value"))
 
 
-def holidays(v):
-    """New Year and Christmas in every region, Independence Day in the US, drawn from the booked stay dates."""
-    days = v.bookings.select(F.col("stay_date").alias("date")).distinct()
-    fixed = F.when(F.date_format("date", "MM-dd").isin("01-01", "12-25"), F.lit("all")).when(
-        F.date_format("date", "MM-dd") == "07-04", F.lit("US")
-    )
-    named = days.withColumn("scope", fixed).where(F.col("scope").isNotNull())
+def holidays(v, first, last):
+    """New Year and Christmas in every region, Independence Day in the US, over the booked span."""
     regions = tables.clean_hotels(v.hotel_config).select("Country", "State").distinct()
-    hit = (F.col("scope") == "all") | (F.col("scope") == F.col("Country"))
-    return named.join(regions, hit).select("date", "Country", "State", F.col("scope").alias("name"))
+    days = regions.select("Country", "State", F.explode(F.sequence(first, last)).alias("date"))
+    day = F.date_format("date", "MM-dd")
+    off = day.isin("01-01", "12-25") | ((day == "07-04") & (F.col("Country") == "US"))
+    return days.where(off).select("date", "Country", "State", day.alias("name"))
 
 
-def calendar(v):
+def booked_span(v):
     ends = v.bookings.agg(F.min("stay_date").alias("a"), F.max("stay_date").alias("b"))
-    first, last = ends.select("a").scalar(), ends.select("b").scalar()
-    return features.hotel_calendar(tables.clean_hotels(v.hotel_config), first, last, holidays(v))
+    return ends.select("a").scalar(), ends.select("b").scalar()
+
+
+def calendar(v):
+    hotels = tables.clean_hotels(v.hotel_config)
+    first, last = booked_span(v)
+    days = features.region_calendar(hotels, first, last, holidays(v, first, last))
+    return features.hotel_calendar(days, hotels)
 
 
 CALENDAR_SQL = """
 bounds as (select min(stay_date) as a, max(stay_date) as b from bookings),
 days as (select cast(unnest(generate_series(a, b, interval 1 day)) as date) as d from bounds),
-booked as (select distinct stay_date from bookings),
 cal as (select h.HotelID, d as stay_date, h.Country,
   case when h.Country in ('US','CA') then h.State else 'N/A' end as State,
   cast(year(d) as int) as year, cast(quarter(d) as int) as quarter_of_year, cast(month(d) as int) as month_of_year,
@@ -70,8 +72,7 @@ cal as (select h.HotelID, d as stay_date, h.Country,
   cast((d - cast(date_trunc('quarter', d) as date)) // 7 + 1 as int) as week_of_quarter,
   cast(d - cast(date_trunc('quarter', d) as date) + 1 as int) as day_of_quarter,
   cast((day(d) - 1) // 7 + 1 as int) as week_of_month, cast(day(d) as int) as day_of_month,
-  case when d in (select stay_date from booked) and
-    (strftime(d, '%m-%d') in ('01-01', '12-25') or (strftime(d, '%m-%d') = '07-04' and h.Country = 'US'))
+  case when strftime(d, '%m-%d') in ('01-01', '12-25') or (strftime(d, '%m-%d') = '07-04' and h.Country = 'US')
     then 1 else 0 end as holiday,
 """ + ",\n".join(f"  case when isodow(d) = {i + 1} then 1 else 0 end as day_of_week_{i}" for i in range(7)) + """
  from days cross join hotel_config h where h.Country is not null)"""
@@ -182,10 +183,12 @@ def p07(v):
     return features.days_ahead(stays, wm)
 
 
-def stays_plan(v, partition_date=None, config=CONFIG, calendar_=None):
+def stays_plan(v, partition_date=None, config=CONFIG, calendar_features=False):
     listed = tables.exclusion_scan(v.exclusions, "main_training_pipeline")
+    hotels = tables.clean_hotels(v.hotel_config) if calendar_features else None
+    days_off = holidays(v, *booked_span(v)) if calendar_features else None
     return training.training_stays(
-        v.bookings, v.transactions, v.booking_status, config, calendar_, listed, partition_date
+        v.bookings, v.transactions, v.booking_status, config, hotels, days_off, listed, partition_date
     )
 
 
@@ -213,7 +216,7 @@ kept as (select HotelID, stay_date from (select distinct HotelID, stay_date from
        left join lags using (HotelID, stay_date) left join cal using (HotelID, stay_date)""",
 )
 def p04(v):
-    matrix = training.training_matrix(stays_plan(v, calendar_=calendar(v)), CONFIG)
+    matrix = training.training_matrix(stays_plan(v, calendar_features=True), CONFIG)
     return matrix.select(
         *pace.KEYS,
         "forecast_index",
@@ -351,7 +354,7 @@ def r05(v):
 
     curve = attach_config(pace.pace(confirmed(v), "revenue", LEADS), v.hotel_config, "lead_window")
     trimmed = pace.trim_to_hotel(curve)
-    long = trimmed.select(*pace.KEYS, "lead_window", F.posexplode("pace").alias("lead", "value"))
+    long = trimmed.select(*pace.KEYS, "lead_window", F.posexplode_outer("pace").alias("lead", "value"))
     return long.withColumn("value", r6("value"))
 
 

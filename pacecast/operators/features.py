@@ -12,21 +12,41 @@ from pacecast.functions.dates import CALENDAR_FEATURES, calendar_features
 from pacecast.operators.pace import KEYS
 
 
-def hotel_calendar(hotels: DataFrame, start: date | Column, end: date | Column, holidays: DataFrame) -> DataFrame:
-    """Calendar rows of every region a hotel lies in, joined to its hotels on country and state.
+def _holiday_marks(holidays: DataFrame) -> DataFrame:
+    return holidays.select(
+        F.col("date").alias("stay_date"), "Country", "State", F.lit(True).alias("_off")
+    ).distinct()
 
-    Days are generated per region with `sequence`, so nothing is crossed; a null country matches nothing.
-    """
+
+def region_calendar(hotels: DataFrame, start: date | Column, end: date | Column, holidays: DataFrame) -> DataFrame:
+    """Calendar table of every region that a hotel lies in; days are generated, not crossed."""
     start, end = (d if isinstance(d, Column) else F.lit(d) for d in (start, end))
-    region = hotels.select("Country", "State").distinct().where(F.col("Country").isNotNull())
-    days = region.select("Country", "State", F.explode(F.sequence(start, end)).alias("stay_date"))
-    off = holidays.select(F.col("date").alias("stay_date"), "Country", "State", F.lit(True).alias("_off")).distinct()
-    marked = days.join(off, ["stay_date", "Country", "State"], "left")
+    regions = hotels.select("Country", "State").distinct().where(F.col("Country").isNotNull())
+    days = regions.select("Country", "State", F.explode(F.sequence(start, end)).alias("stay_date"))
+    marked = days.join(_holiday_marks(holidays), ["stay_date", "Country", "State"], "left")
     features = calendar_features(F.col("stay_date"), F.coalesce(F.col("_off"), F.lit(False)))
-    calendar = marked.select("stay_date", "Country", "State", *features.values())
+    return marked.select("stay_date", "Country", "State", *features.values())
+
+
+def hotel_calendar(calendar: DataFrame, hotels: DataFrame) -> DataFrame:
+    """Calendar rows of each hotel, by country and state; a null country matches nothing."""
     return calendar.join(hotels.select("HotelID", "Country", "State"), ["Country", "State"], "inner")
 
 
+def with_calendar(stays: DataFrame, hotels: DataFrame, holidays: DataFrame) -> DataFrame:
+    """Calendar features put on existing stays.
+
+    All but the holiday mark are functions of the date, so no hotel x day table is built or joined: only the
+    hotel's region and the holidays are looked up. Hotels without a country get nulls, as with the table.
+    """
+    places = hotels.select("HotelID", "Country", "State")
+    placed = stays.join(places, "HotelID", "left")
+    marked = placed.join(_holiday_marks(holidays), ["stay_date", "Country", "State"], "left")
+    features = calendar_features(F.col("stay_date"), F.coalesce(F.col("_off"), F.lit(False)))
+    known = {n: F.when(F.col("Country").isNotNull(), c) for n, c in features.items()}
+    return marked.withColumns(known).drop("_off", "Country", "State")
+
+
 def lag_totals(totals: DataFrame, value: str, lags) -> DataFrame:
     """lag{n} of a stay = final total of the stay n calendar days earlier.
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacecast.config import check_quantiles
+from pacecast.operators.pace import work_tasks
 from pacecast.schema import LINEAR_PARAMS
 
 GROUP = ("HotelID", "day_ahead")
@@ -23,14 +24,20 @@ def _path_lead(pos: Column, far_step: int | None) -> Column:
     return (d - 1 - pos if far_step is None else d - far_step).cast("int")
 
 
-def pickup_fit(rows: DataFrame, quantiles=(0.1, 0.5, 0.9), far_step: int | None = None) -> DataFrame:
+def pickup_fit(
+    rows: DataFrame, quantiles=(0.1, 0.5, 0.9), far_step: int | None = None, tasks: int | None = None
+) -> DataFrame:
     """Quantiles of what was still booked between the origin and each target lead.
 
-    Own definition: the pickup `y - base` is taken as independent of the base. Percentiles are exact.
+    Own definition: the pickup `y - base` is taken as independent of the base. Percentiles are exact. Paths
+    travel as arrays to their (hotel, distance) and are exploded there: one shuffle of few rows, and the
+    percentiles group inside the same tasks. (The outer explode keeps Spark from adding a non-empty check,
+    which would work the arrays out twice.)
     """
     check_quantiles(quantiles)
-    pickup = F.transform("y", lambda v: v - F.col("base"))
-    long = rows.select(*GROUP, F.posexplode(pickup).alias("pos", "pickup")).where(F.col("pickup").isNotNull())
+    placed = rows.select(*GROUP, "base", "y").repartition(tasks or work_tasks(rows.sparkSession), *GROUP)
+    long = placed.select(*GROUP, "base", F.posexplode_outer("y").alias("pos", "target"))
+    long = long.withColumn("pickup", F.col("target") - F.col("base")).where(F.col("pickup").isNotNull())
     return (
         long.withColumn("target_lead", _path_lead(F.col("pos"), far_step))
         .groupBy(*GROUP, "target_lead")
@@ -80,12 +87,6 @@ def _fit_group(pdf: pd.DataFrame, quantiles, far_step: int | None, recursive: bo
     return pd.DataFrame(out, columns=LINEAR_PARAMS.fieldNames())
 
 
-def group_tasks(rows: DataFrame) -> int:
-    """Partitions for grouped maps: fixed, so that adaptive execution does not merge the groups into one task."""
-    spark = rows.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-
-
 def linear_fit(
     rows: DataFrame,
     quantiles=(0.1, 0.5, 0.9),
@@ -104,5 +105,5 @@ def linear_fit(
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         return _fit_group(pdf, quantiles, far_step, recursive)
 
-    picked = rows.select(*GROUP, "y", "x").repartition(tasks or group_tasks(rows), *GROUP)
+    picked = rows.select(*GROUP, "y", "x").repartition(tasks or work_tasks(rows.sparkSession), *GROUP)
     return picked.groupBy(*GROUP).applyInPandas(fit, LINEAR_PARAMS)

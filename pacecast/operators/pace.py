@@ -8,7 +8,7 @@ exploded rows never cross a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pacecast.functions import arrays as A
@@ -28,9 +28,22 @@ def running_total(daily: DataFrame, value: str, out: str = "cum_sum_value") -> D
     )
 
 
-def stay_cells(bookings: DataFrame, value: str | Column, lead_window: int, snapshots: int = 1) -> DataFrame:
+def work_tasks(spark: SparkSession) -> int:
+    """Partitions for steps that turn few bytes into much work. The number is fixed, as adaptive execution
+    merges partitions by bytes and would leave such a step on a few cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
+def stay_cells(
+    bookings: DataFrame, value: str | Column, lead_window: int, snapshots: int = 1, tasks: int | None = None
+) -> DataFrame:
     """One row per hotel and stay: `cells`, sorted from the farthest lead.
 
+    Rows without hotel or stay go at once. Joins would drop them later in some branches only, and branches
+    that differ cannot share the shuffle.
+
+    The repartition is the shuffle that the second sum needs anyway; it only fixes the number of tasks.
+
     Leads past the window count in all slots, so they share its last lead; cancellations at or before the
     last snapshot are never on the books and share one mark.
     """
@@ -42,11 +55,12 @@ def stay_cells(bookings: DataFrame, value: str | Column, lead_window: int, snaps
         gone = F.when(F.col("cancellation_date").isNull(), F.lit(-1)).otherwise(days)
     summed = (
         bookings.select(*KEYS, lead.alias("lead"), gone.alias("gone"), amount.cast("double").alias("amount"))
-        .where(F.col("lead") >= 0)
+        .where((F.col("lead") >= 0) & F.col("HotelID").isNotNull() & F.col("stay_date").isNotNull())
         .groupBy(*KEYS, "lead", "gone")
         .agg(F.sum("amount").alias("amount"))
     )
-    return summed.groupBy(*KEYS).agg(
+    spread = summed.repartition(tasks or work_tasks(bookings.sparkSession), *KEYS)
+    return spread.groupBy(*KEYS).agg(
         F.sort_array(F.collect_list(F.struct("lead", "gone", "amount")), asc=False).alias("cells")
     )
 

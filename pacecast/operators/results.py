@@ -16,8 +16,9 @@ PATHS = ("y_med", "y_upper", "y_lower", "y_med_raw", "y_upper_raw", "y_lower_raw
 def explode_path(df: DataFrame, *paths: str, keep=("HotelID", "stay_date", "day_ahead")) -> DataFrame:
     """Arrays to long rows with the place on the path and the lead it stands for."""
     zipped = F.arrays_zip("target_leads", *paths)
-    long = df.select(*keep, F.posexplode(zipped).alias("booking_index", "_p"))
-    return long.select(
+    # outer, with empty paths dropped after it: a plain explode would add a check that works the arrays out twice
+    long = df.select(*keep, F.posexplode_outer(zipped).alias("booking_index", "_p"))
+    return long.where(F.col("booking_index").isNotNull()).select(
         *keep, "booking_index", F.col("_p.target_leads").alias("target_lead"), *[F.col(f"_p.{p}").alias(p) for p in paths]
     )
 

@@ -30,7 +30,8 @@ def sliding_rows(
 ) -> DataFrame:
     """Model rows of every origin: what was on the books at the origin, and the truth for the rest of the path."""
     value = target_column(config.target_type)
-    stays = pace.stay_cells(confirmed.drop("cancellation_date"), value, config.lead_window)
+    ahead = F.col("stay_date").between(F.lit(first + timedelta(days=1)), F.lit(last + timedelta(days=config.horizon)))
+    stays = pace.stay_cells(confirmed.where(ahead).drop("cancellation_date"), value, config.lead_window)
     kept = F.col("cells")
     spread = stays.withColumn("eval_start", F.explode(origins_of("stay_date", first, last, step, config.horizon)))
     spread = features.days_ahead(spread, F.col("eval_start"))

@@ -22,7 +22,7 @@ def inference_matrix(
     config: RunConfig,
     hotels: DataFrame,
     start: date | Column,
-    calendar: DataFrame | None = None,
+    holidays: DataFrame | None = None,
 ) -> DataFrame:
     """Stays after `start` with the pace known at `start`, days ahead, settings, calendar and lags.
 
@@ -37,10 +37,12 @@ def inference_matrix(
     matrix = matrix.where(F.col("day_ahead") <= F.col("inference_length"))
     matrix = matrix.withColumn("pace", A.trim_pace(F.col("pace"), F.col("lead_window")))
     if config.lags:
-        totals = confirmed.groupBy(*pace.KEYS).agg(F.sum(value).alias("total"))
+        # only stays that a lag can reach are read
+        reached = F.col("stay_date").between(F.date_sub(first, max(config.lags)), F.date_add(first, longest))
+        totals = confirmed.where(reached).groupBy(*pace.KEYS).agg(F.sum(value).alias("total"))
         matrix = matrix.join(features.lag_totals(totals, "total", config.lags), list(pace.KEYS), "left")
-    if calendar is not None:
-        matrix = matrix.join(calendar.drop("Country", "State"), list(pace.KEYS), "left")
+    if holidays is not None:
+        matrix = features.with_calendar(matrix, hotels, holidays)
     return matrix
 
 

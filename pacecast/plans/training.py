@@ -13,8 +13,6 @@ from pacecast.functions.metrics import target_column
 from pacecast.operators import clean, exclude, features, fit, pace
 from pacecast.sources import sinks
 
-CONTEXT = ("HotelID", "stay_date")
-
 
 def aware_bookings(
     bookings: DataFrame, transactions: DataFrame, lookup: DataFrame, config: RunConfig, no_show: str = "fill_null"
@@ -54,7 +52,8 @@ def training_stays(
     transactions: DataFrame,
     lookup: DataFrame,
     config: RunConfig,
-    calendar: DataFrame | None = None,
+    hotels: DataFrame | None = None,
+    holidays: DataFrame | None = None,
     exclusions: DataFrame | None = None,
     partition_date: date | Column | None = None,
 ) -> DataFrame:
@@ -64,12 +63,13 @@ def training_stays(
     """
     cut = partition_date or config.partition_date or clean.watermark(bookings)
     targets = 100 if isinstance(config, FarFieldConfig) else config.horizon
-    stays = stays_from(aware_bookings(bookings, transactions, lookup, config), config, targets)
-    out = clean.train_cut(stays, cut)
+    # lags look back, so the cut may come first: both uses below then share one shuffle of the bookings
+    stays = clean.train_cut(stays_from(aware_bookings(bookings, transactions, lookup, config), config, targets), cut)
+    out = stays
     if config.lags:
         out = out.join(features.lag_totals(stays.select(*pace.KEYS, "total"), "total", config.lags), list(pace.KEYS), "left")
-    if calendar is not None:
-        out = out.join(calendar.drop("Country", "State"), list(pace.KEYS), "left")
+    if hotels is not None and holidays is not None:
+        out = features.with_calendar(out, hotels, holidays)
     if exclusions is not None:
         out = exclude.drop_excluded(out, exclude.latest_config(exclusions))
     return out
