@@ -98,7 +98,7 @@ def m03(v):
          select distinct HotelID, stay_date, 0, d, base, base, base, base, base, base from paths)
        select HotelID, 'run1' as run_id, stay_date, cast(stay_date - l as date) as booking_date, 1 as model_version,
          false as pms_sync_off, 'USD' as forecast_currency, cast(day_index as int) as day_index,
-         round(y_med, 6) + 0.0 as y_med, concat(HotelID, '_REVENUE_pickup') as model_name,
+         round(y_med, 6) + 0.0 as y_med, concat(HotelID, '_REVENUE_PMS_PICKUP_model') as model_name,
          round(y_upper, 6) + 0.0 as y_upper, round(y_lower, 6) + 0.0 as y_lower,
          round(y_med_raw, 6) + 0.0 as y_med_raw, round(y_upper_raw, 6) + 0.0 as y_upper_raw,
          round(y_lower_raw, 6) + 0.0 as y_lower_raw from fixed""".replace("stay_date - l as", "stay_date - cast(l as int) as"),
@@ -167,28 +167,55 @@ def w07(v):
     return rounded(repair.fill_rows(gaps, PATH, "day_index", "y_med"), "y_med")
 
 
+def results_at_origin(v):
+    """Forecasts with failure rows. Hotels are done when they have paths, which is known before these are exploded."""
+    matrix, params = matrix_at_origin(v), params_at_origin(v)
+    table = inference.forecast(matrix, params, CONFIG, "run1", datetime(2001, 6, 15))
+    done = inference.repaired_paths(matrix, params, CONFIG)
+    lost = results.failure_rows(v.hotel_config.select("HotelID"), done, "run1", inference.NO_DATA)
+    return table.unionByName(lost)
+
+
 @check(
-    "m09_f23_g11_failure_rows",
+    "m09_f23_failure_rows",
     "confirmed hotel_config exclusions aware",
     FORECAST_SQL + """,
        done as (select HotelID, count(*) + count(distinct stay_date) as n from paths group by 1)
        select HotelID, case when n is null then 'incomplete' else 'complete' end as status, coalesce(n, 1) as n,
-         case when n is null then date '1900-01-01' end as sentinel,
-         (select count(distinct HotelID) from done) as hotels_completed,
-         (select count(*) from hotel_config) as hotels_total
-       from hotel_config left join done using (HotelID)""",
+         case when n is null then date '1900-01-01' end as sentinel from hotel_config left join done using (HotelID)""",
 )
 def m09(v):
-    table = inference.forecast(matrix_at_origin(v), params_at_origin(v), CONFIG, "run1", datetime(2001, 6, 15))
-    lost = results.failure_rows(v.hotel_config.select("HotelID"), table, "run1", inference.NO_DATA)
-    everything = table.unionByName(lost)
-    summary = results.run_summary(everything)
-    per_hotel = everything.groupBy("HotelID", "status").agg(
+    return results_at_origin(v).groupBy("HotelID", "status").agg(
         F.count("*").alias("n"), F.min(F.when(F.col("status") != "complete", F.col("stay_date"))).alias("sentinel")
     )
-    return per_hotel.withColumns(
-        {c: summary.select(c).scalar() for c in ("hotels_completed", "hotels_total")}
-    )
+
+
+@check(
+    "g11_run_summary",
+    "confirmed hotel_config exclusions aware",
+    FORECAST_SQL + """
+       select (select count(distinct HotelID) from paths) as hotels_completed, count(*) as hotels_total from hotel_config""",
+)
+def g11(v):
+    return results.run_summary(results_at_origin(v))
+
+
+@check(
+    "m09_training_run",
+    "confirmed hotel_config exclusions",
+    "with " + KEPT_SQL.format(cut="date '1995-01-06'").strip() + """,
+       asked as (select HotelID from hotel_config union all select distinct concat('x', HotelID) from bookings)
+       select HotelID, 'run1' as run_id, 1 as model_version, false as pms_sync_off,
+         concat(HotelID, '_REVENUE_PMS_PICKUP_model') as model_name,
+         case when HotelID in (select HotelID from kept) then 'complete' else 'incomplete' end as status,
+         case when HotelID in (select HotelID from kept) then concat('Successfully trained ', HotelID)
+              else 'No training rows' end as message from asked""",
+)
+def m09_training(v):
+    params = training.train(stays_plan(v, date(1995, 1, 6)), CONFIG)
+    more = v.bookings.select(F.concat(F.lit("x"), F.col("HotelID")).alias("HotelID")).distinct()
+    asked = v.hotel_config.select("HotelID").unionByName(more)
+    return results.training_run(asked, params, "REVENUE", "run1", datetime(2001, 6, 15)).drop("timestamp")
 
 
 BACKTEST_SQL = f"""

@@ -151,6 +151,30 @@ def p05(v):
     return rounded(features.lag_totals(totals, "total", CONFIG.lags), "lag1", "lag7", "lag14", "lag28")
 
 
+@check(
+    "p05_far_field_lags",
+    "confirmed",
+    """with totals as (select HotelID, stay_date, sum(rooms) as total from confirmed group by 1, 2),
+       sent as (select HotelID, stay_date + cast(n as int) as stay_date, n, total from totals
+                cross join (select unnest(generate_series(7, 147, 7)) as n) k)
+       select HotelID, stay_date, round(sum(total), 6) + 0.0 as lag_sum, count(*) as lags_known,
+         max(case when n = 147 then total end) + 0.0 as lag147 from sent group by 1, 2""",
+)
+def p05_far(v):
+    from pacecast.config import FarFieldConfig
+
+    lags = FarFieldConfig().lags
+    totals = confirmed(v).groupBy(*pace.KEYS).agg(F.sum("rooms").alias("total"))
+    wide = features.lag_totals(totals, "total", lags)
+    known = F.array_compact(F.array(*[f"lag{n}" for n in lags]))
+    return wide.select(
+        *pace.KEYS,
+        r6(F.aggregate(known, F.lit(0.0), lambda a, x: a + x)).alias("lag_sum"),
+        F.size(known).cast("bigint").alias("lags_known"),
+        "lag147",
+    )
+
+
 @check(
     "p06_j02_calendar",
     "bookings hotel_config",

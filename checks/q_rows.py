@@ -28,14 +28,15 @@ def aware(v):
     return training.aware_bookings(v.bookings, v.transactions, v.booking_status, CONFIG)
 
 
-BY_KIND = """count(*) as n, round(sum(revenue), 4) + 0.0 as revenue, round(sum(rooms), 4) + 0.0 as rooms"""
+# Amounts have four decimals, so large sums are exact as decimals.
+BY_KIND = """count(*) as n, cast(sum(cast(revenue as decimal(18, 4))) as double) as revenue,
+ cast(sum(cast(rooms as decimal(18, 4))) as double) as rooms"""
 
 
 def by_kind(df, *keys):
     return df.groupBy(*keys).agg(
         F.count("*").alias("n"),
-        (F.round(F.sum("revenue"), 4) + F.lit(0.0)).alias("revenue"),
-        (F.round(F.sum("rooms"), 4) + F.lit(0.0)).alias("rooms"),
+        *[F.sum(F.col(c).cast("decimal(18,4)")).cast("double").alias(c) for c in ("revenue", "rooms")],
     )
 
 

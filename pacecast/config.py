@@ -7,7 +7,6 @@ from datetime import date, timedelta
 
 # Names and defaults that callers of the existing jobs rely on.
 TARGET_PREFIX = {"REVENUE": "RV", "ROOMS": "RM", "ADR": "ADR"}
-TRAIN_PIPELINE = "main_training_pipeline"
 NO_SHOW = "No-show"
 PMS_CHANNEL = "PMS"
 SENTINEL_DATE = date(1900, 1, 1)

@@ -26,10 +26,12 @@ def attach_cancellations(bookings: DataFrame, transactions: DataFrame) -> DataFr
     return bookings.join(cancelled, "TransactionID", "left")
 
 
-def fill_no_show(df: DataFrame, mode: str = "fill_null", status: str = NO_SHOW) -> DataFrame:
-    """No-shows count as cancelled on the stay date: only where no date is known, or always."""
+def fill_no_show(df: DataFrame, mode: str | None = "fill_null", status: str = NO_SHOW) -> DataFrame:
+    """No-shows count as cancelled on the stay date: only where no date is known, always, or (None) not at all."""
+    if mode is None:
+        return df
     if mode not in ("fill_null", "overwrite"):
-        raise ValueError("mode must be fill_null or overwrite")
+        raise ValueError("mode must be fill_null, overwrite or None")
     hit = F.col("status") == status
     if mode == "fill_null":
         hit = hit & F.col("cancellation_date").isNull()

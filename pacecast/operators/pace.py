@@ -30,8 +30,11 @@ def running_total(daily: DataFrame, value: str, out: str = "cum_sum_value") -> D
 
 def work_tasks(spark: SparkSession) -> int:
     """Partitions for steps that turn few bytes into much work. The number is fixed, as adaptive execution
-    merges partitions by bytes and would leave such a step on a few cores."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    merges partitions by bytes and would leave such a step on a few cores. It follows the session's own
+    shuffle settings, and never falls below four tasks a core."""
+    planned = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    shuffles = int(planned or spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffles, 4 * spark.sparkContext.defaultParallelism)
 
 
 def stay_cells(

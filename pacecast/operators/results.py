@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacecast.config import SENTINEL_DATE
+from pacecast.operators.versions import model_name
 from pacecast.schema import FORECAST
 
 PATHS = ("y_med", "y_upper", "y_lower", "y_med_raw", "y_upper_raw", "y_lower_raw")
@@ -34,7 +35,7 @@ def forecast_rows(
     target_type: str,
     run_id: str,
     timestamp: datetime,
-    model_name: str = "pickup",
+    model_type: str = "pickup",
     model_version: int = 1,
     pms_sync_off: bool = False,
 ) -> DataFrame:
@@ -54,7 +55,7 @@ def forecast_rows(
             "pms_sync_off": F.lit(pms_sync_off),
             "forecast_currency": currency,
             "day_index": F.col("booking_index"),
-            "model_name": F.concat_ws("_", F.col("HotelID"), F.lit(target_type), F.lit(model_name)),
+            "model_name": model_name(target_type, model_type, pms_sync_off),
             "status": F.lit("complete"),
             "message": F.concat(F.lit("Successfully processed "), F.col("HotelID")),
         }
@@ -85,6 +86,33 @@ def failure_rows(
     return lost.withColumns(fixed).select(*FORECAST.fieldNames())
 
 
+def training_run(
+    requested: DataFrame,
+    params: DataFrame,
+    target_type: str,
+    run_id: str,
+    timestamp: datetime,
+    model_type: str = "pickup",
+    model_version: int = 1,
+    pms_sync_off: bool = False,
+    message: str = "No training rows",
+) -> DataFrame:
+    """One row per requested hotel: fitted, or not with the reason."""
+    fitted = params.select("HotelID").distinct().withColumn("_fitted", F.lit(True))
+    hotels = requested.select("HotelID").distinct().join(fitted, "HotelID", "left")
+    ok = F.col("_fitted").isNotNull()
+    return hotels.select(
+        "HotelID",
+        F.lit(run_id).alias("run_id"),
+        F.lit(model_version).alias("model_version"),
+        F.when(ok, F.lit(timestamp)).otherwise(F.lit(datetime(1900, 1, 1))).alias("timestamp"),
+        F.lit(pms_sync_off).alias("pms_sync_off"),
+        model_name(target_type, model_type, pms_sync_off).alias("model_name"),
+        F.when(ok, "complete").otherwise("incomplete").alias("status"),
+        F.when(ok, F.concat(F.lit("Successfully trained "), F.col("HotelID"))).otherwise(message).alias("message"),
+    )
+
+
 def completed(results: DataFrame, target_type: str) -> DataFrame:
     """Rows to publish: complete ones, without job columns; room forecasts carry no currency."""
     kept = results.where(F.col("status") == "complete").drop("status", "message")

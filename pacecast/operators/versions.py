@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def model_name(target_type: str, model_type: str, without_pms: bool = False, prefix: str | None = None) -> Column:
+    """Name of a hotel's model: [prefix_]hotel_target[_PMS]_type_model. Fixed format: version tables use it."""
+    parts = [F.lit(prefix)] if prefix else []
+    parts += [F.col("HotelID"), F.lit(target_type)] + ([] if without_pms else [F.lit("PMS")])
+    return F.concat_ws("_", *parts, F.lit(model_type.upper()), F.lit("model"))
+
+
 def latest_version(versions: DataFrame, stage: str | None = None) -> DataFrame:
     """Newest version per model, or the newest tagged yes for a stage."""
     tagged = versions if stage is None else versions.where(F.col(f"stage_{stage}") == "yes")

@@ -14,21 +14,35 @@ from pacecast.operators import clean, exclude, features, fit, pace
 from pacecast.sources import sinks
 
 
+def _dated(bookings: DataFrame, transactions: DataFrame | None, config: RunConfig, no_show: str | None) -> DataFrame:
+    """Bookings with their cancellation date, looked up or (transactions None) already in the table.
+
+    Row-local cuts come first, so that less is shuffled to meet the transactions.
+    """
+    kept = clean.preprocess(bookings, config.model_start, config.without_pms)
+    if transactions is not None:
+        kept = clean.attach_cancellations(kept, transactions)
+    return clean.fill_no_show(kept, no_show)
+
+
 def aware_bookings(
-    bookings: DataFrame, transactions: DataFrame, lookup: DataFrame, config: RunConfig, no_show: str = "fill_null"
+    bookings: DataFrame,
+    transactions: DataFrame | None,
+    lookup: DataFrame,
+    config: RunConfig,
+    no_show: str | None = "fill_null",
 ) -> DataFrame:
-    """Cancel-aware rows. Row-local cuts come first, so that less is shuffled to meet the transactions."""
-    kept = clean.preprocess(bookings, config.model_start, config.without_pms)
-    dated = clean.fill_no_show(clean.attach_cancellations(kept, transactions), no_show)
-    return clean.cancel_aware(dated, lookup)
+    return clean.cancel_aware(_dated(bookings, transactions, config, no_show), lookup)
 
 
 def confirmed_bookings(
-    bookings: DataFrame, transactions: DataFrame, lookup: DataFrame, config: RunConfig, no_show: str = "fill_null"
+    bookings: DataFrame,
+    transactions: DataFrame | None,
+    lookup: DataFrame,
+    config: RunConfig,
+    no_show: str | None = "fill_null",
 ) -> DataFrame:
-    kept = clean.preprocess(bookings, config.model_start, config.without_pms)
-    dated = clean.fill_no_show(clean.attach_cancellations(kept, transactions), no_show)
-    return clean.confirmed_only(dated, lookup)
+    return clean.confirmed_only(_dated(bookings, transactions, config, no_show), lookup)
 
 
 def stays_from(aware: DataFrame, config: RunConfig, targets: int | None = None) -> DataFrame:
@@ -49,7 +63,7 @@ def stays_from(aware: DataFrame, config: RunConfig, targets: int | None = None)
 
 def training_stays(
     bookings: DataFrame,
-    transactions: DataFrame,
+    transactions: DataFrame | None,
     lookup: DataFrame,
     config: RunConfig,
     hotels: DataFrame | None = None,

@@ -43,6 +43,14 @@ def test_no_show_modes_differ_where_a_date_is_known(spark):
         clean.fill_no_show(joined, "other")
 
 
+def test_cancellation_date_already_in_the_bookings(spark, base):
+    dated = clean.attach_cancellations(base[0], base[1])
+    a = training.aware_bookings(dated, None, base[2], RunConfig())
+    assert D.rows_of(a, "TransactionID") == [(1,), (3,), (6,)]
+    untouched = training.aware_bookings(dated, None, base[2], RunConfig(), no_show=None)
+    assert D.rows_of(untouched, "TransactionID") == [(1,), (3,)]
+
+
 def test_many_bookings_of_one_transaction_keep_their_rows(spark):
     b = D.bookings(spark, [(1, "A", D.STAY, i, "Cancelled", 1) for i in range(50)])
     joined = clean.attach_cancellations(b, D.transactions(spark, [(1, D.day(2)), (2, None)]))
