@@ -51,6 +51,21 @@ def pace_between(cells: Column, lo: Column | int, hi: Column | int) -> Column:
     return F.aggregate(F.filter(cells, lambda c: c["lead"] >= lo), start, step, finish)
 
 
+def gone_cells(cells: Column) -> Column:
+    return F.filter(cells, lambda c: c["gone"] >= F.lit(0))
+
+
+def snapshot_between(lasting: Column, gone: Column, snapshot: Column | int, lo: Column | int, hi: Column | int) -> Column:
+    """Pace at leads lo..hi-1 as of a snapshot: the lasting pace, the same in all snapshots, plus the bookings
+    that were still to be cancelled. Only the few cancelled cells are walked for each snapshot."""
+    lo, hi = _col(lo), _col(hi)
+    then = kept_cells(gone, snapshot)
+    part = F.slice(lasting, (lo + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int"))
+    return F.when(F.size(then) == 0, part).otherwise(
+        F.zip_with(part, pace_between(then, lo, hi), lambda a, b: a + b)
+    )
+
+
 def booked_at(cells: Column, lead: Column | int) -> Column:
     """Total on the books at one lead."""
     return F.aggregate(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pacecast.functions import arrays as A
 from pacecast.functions.dates import CALENDAR_FEATURES, calendar_features
-from pacecast.operators.pace import KEYS
+from pacecast.operators.pace import KEYS, split_cells
 
 
 def _holiday_marks(holidays: DataFrame) -> DataFrame:
@@ -145,16 +145,20 @@ def rows_from_cells(
     Only the asked-for distances are exploded, and only the slots that a distance may see are worked out.
     """
     d = F.col("day_ahead")
-    kept = A.kept_cells(F.col("cells"), d - snapshot_offset)
+    k = d - snapshot_offset
     top = F.lit(lead_window) if n_pace is None else F.least(d + n_pace, F.lit(lead_window))
     y = _near_targets(d) if far_step is None else F.array(F.get("target", d - far_step))
-    spread = stays.withColumn("day_ahead", F.explode(F.lit(list(distances))))
+    spread = split_cells(stays, lead_window).withColumn("day_ahead", F.explode(F.lit(list(distances))))
+    lasting, gone = F.col("lasting"), F.col("gone")
+    seen = A.snapshot_between(lasting, gone, k, d, top)
+    if "lead_window" in stays.columns:  # a hotel's own window: farther slots read 0, as they do at inference
+        seen = A.trim_pace(seen, F.col("lead_window") - d)
     return spread.select(
         *KEYS,
         "day_ahead",
         y.alias("y"),
-        A.booked_at(kept, d).alias("base"),
-        _vector(stays, A.pace_between(kept, d, top), lags, d).alias("x"),
+        (F.get(lasting, d) + A.booked_at(A.kept_cells(gone, k), d)).alias("base"),
+        _vector(stays, seen, lags, d).alias("x"),
     )
 
 

@@ -78,13 +78,23 @@ def target_pace(confirmed: DataFrame, value: str | Column, lead_window: int) ->
     return pace(confirmed, value, lead_window, out="target")
 
 
+def split_cells(stays: DataFrame, lead_window: int) -> DataFrame:
+    """Cells as the lasting pace (never cancelled, worked out once a stay) and the cancelled cells."""
+    cells = F.col("cells")
+    return stays.withColumns(
+        {"lasting": A.pace_between(A.confirmed_cells(cells), 0, lead_window), "gone": A.gone_cells(cells)}
+    ).drop("cells")
+
+
 def explode_snapshots(stays: DataFrame, lead_window: int, snapshots: int, first: int = 0) -> DataFrame:
     """One row per snapshot k: the pace as it looked k days before the stay, cancellations up to then gone."""
     keep = [c for c in stays.columns if c != "cells"]
     k = F.col("forecast_index")
-    return stays.withColumn(
+    spread = split_cells(stays, lead_window).withColumn(
         "forecast_index", F.explode(F.sequence(F.lit(first), F.lit(snapshots - 1)))
-    ).select(*keep, "forecast_index", A.pace_between(A.kept_cells(F.col("cells"), k), 0, lead_window).alias("pace"))
+    )
+    seen = A.snapshot_between(F.col("lasting"), F.col("gone"), k, 0, lead_window)
+    return spread.select(*keep, "forecast_index", seen.alias("pace"))
 
 
 def snapshot_pace(aware: DataFrame, value: str | Column, lead_window: int, snapshots: int) -> DataFrame:

@@ -51,6 +51,8 @@ def stays_from(aware: DataFrame, config: RunConfig, targets: int | None = None)
     Confirmed-only bookings are exactly the never-cancelled cells, so targets and cancel-aware features share
     their cells instead of scanning twice and joining. Stays without a confirmed booking have no target and go.
     """
+    if (targets or config.horizon) > config.lead_window:
+        raise ValueError("targets cannot reach past the lead window")
     cells = pace.stay_cells(aware, target_column(config.target_type), config.lead_window, config.snapshots)
     confirmed = A.confirmed_cells(F.col("cells"))
     return cells.where(F.size(confirmed) > 0).select(
@@ -76,12 +78,14 @@ def training_stays(
     Everything joins on (hotel, stay) here; snapshots are exploded later from the compact row.
     """
     cut = partition_date or config.partition_date or clean.watermark(bookings)
-    targets = 100 if isinstance(config, FarFieldConfig) else config.horizon
+    targets = min(100, config.lead_window) if isinstance(config, FarFieldConfig) else config.horizon
     # lags look back, so the cut may come first: both uses below then share one shuffle of the bookings
     stays = clean.train_cut(stays_from(aware_bookings(bookings, transactions, lookup, config), config, targets), cut)
     out = stays
     if config.lags:
         out = out.join(features.lag_totals(stays.select(*pace.KEYS, "total"), "total", config.lags), list(pace.KEYS), "left")
+    if hotels is not None and "lead_window" in hotels.columns:
+        out = out.join(hotels.select("HotelID", "lead_window"), "HotelID", "left")
     if hotels is not None and holidays is not None:
         out = features.with_calendar(out, hotels, holidays)
     if exclusions is not None:

@@ -155,6 +155,17 @@ def test_forecast_has_the_published_columns_and_starts_at_what_is_known(spark, h
             assert r.y_med == known[r.stay_date]
 
 
+def test_training_and_inference_trim_the_same_slots(hotel):
+    args, settings = hotel
+    narrow = settings.withColumn("lead_window", F.lit(6))
+    stays = training.training_stays(*args, CONFIG, narrow, partition_date=START)
+    for r in training.model_rows(stays, CONFIG).collect():
+        seen = r.x[: 10 - r.day_ahead]
+        assert all(v == 0.0 for v in seen[6 - r.day_ahead:]) and len(seen) == 10 - r.day_ahead
+    matrix = inference.inference_matrix(training.confirmed_bookings(*args, CONFIG), CONFIG, narrow, START)
+    assert all(r.pace[6:] == [None] * 4 for r in matrix.collect())
+
+
 def test_room_forecasts_are_capped_and_carry_no_currency(hotel):
     config = RunConfig(target_type="ROOMS", horizon=4, snapshots=4, lead_window=10, lags=())
     matrix, params, _ = plan(hotel, config)
