@@ -29,8 +29,17 @@ def region_calendar(hotels: DataFrame, start: date | Column, end: date | Column,
 
 
 def hotel_calendar(calendar: DataFrame, hotels: DataFrame) -> DataFrame:
-    """Calendar rows of each hotel, by country and state; a null country matches nothing."""
-    return calendar.join(hotels.select("HotelID", "Country", "State"), ["Country", "State"], "inner")
+    """Calendar rows of each hotel, by country and state; a null country matches nothing.
+
+    Hotels are spread over the calendar's days before the join, so the day is part of its key: a region with
+    very many hotels is then shared by many tasks.
+    """
+    span = calendar.agg(F.min("stay_date").alias("a"), F.max("stay_date").alias("b"))
+    days = F.sequence(span.select("a").scalar(), span.select("b").scalar())
+    nights = hotels.where(F.col("Country").isNotNull()).select(
+        "HotelID", "Country", "State", F.explode(days).alias("stay_date")
+    )
+    return nights.join(calendar, ["Country", "State", "stay_date"], "inner")
 
 
 def with_calendar(stays: DataFrame, hotels: DataFrame, holidays: DataFrame) -> DataFrame:

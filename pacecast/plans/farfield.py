@@ -21,9 +21,9 @@ def holdout_points(stays: DataFrame, config: FarFieldConfig) -> DataFrame:
 def evaluate(stays: DataFrame, config: FarFieldConfig, method: str = "pickup") -> DataFrame:
     """Train on stays before the test part, predict each point's stay; absent stays read zeros."""
     split = features.horizon_split(stays, max(config.points))
-    train = split.where(~F.col("is_test")).drop("test_start", "test_end", "is_test")
+    train, test = (split.where(c).drop("test_start", "test_end", "is_test") for c in ("not is_test", "is_test"))
     params = training.train(train, config, method)
     wanted = holdout_points(stays, config)
-    rows = training.model_rows(stays, config).join(wanted, [*pace.KEYS, "day_ahead"], "left_semi")
+    rows = training.model_rows(test, config).join(wanted, [*pace.KEYS, "day_ahead"], "left_semi")
     forecast = predict.pickup_predict if method == "pickup" else predict.linear_predict
     return results.far_field_results(wanted, forecast(rows, params, config.quantiles))

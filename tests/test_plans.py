@@ -9,7 +9,7 @@ from checks.q_forecast import FAR
 from checks.q_pace import stays_plan
 from checks.q_rows import aware
 from pacecast.config import RunConfig
-from pacecast.operators import fit
+from pacecast.operators import clean, fit
 from pacecast.plans import farfield, training
 from pacecast.sources import tables
 from tests import data as D
@@ -99,3 +99,31 @@ def test_one_hot_hotel_and_transaction_give_whole_results(spark):
     totals = dict(stays.select("HotelID", "total").collect())
     assert totals["HOT"] == 4000 and sum(totals.values()) == 4000 + 1999
     assert stays.select(F.max(F.size("cells"))).first()[0] <= 20 * 6
+
+
+def test_hot_transaction_is_split_by_the_skew_join(spark, tmp_path):
+    """Half of all bookings share a transaction; the left side of that join partition is read in pieces."""
+    path = str(tmp_path / "b")
+    rows = [(1 if i % 2 else 10 + i, "A", D.STAY, i % 50, "Confirmed", i) for i in range(6000)]
+    D.bookings(spark, rows).repartition(12).write.parquet(path)
+    seen = D.transactions(spark, [(10 + i, D.day(1)) for i in range(6000)])
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, value in small.items():
+        spark.conf.set(k, value)
+    try:
+        joined = clean.attach_cancellations(tables.read_bookings(spark, path), seen)
+        daily = clean.daily_net(joined, with_cancellation=True)
+        plan = executed(daily)
+        assert "SortMergeJoin(skew=true)" in plan
+        assert daily.agg(F.sum("rooms")).first()[0] == 6000.0
+    finally:
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
