@@ -42,7 +42,7 @@ params as (select HotelID, d, l, quantile_cont(pickup, 0.1) as lo, quantile_cont
          round(lo, 6) + 0.0 as q_low, round(med, 6) + 0.0 as q_med, round(hi, 6) + 0.0 as q_high from params""",
 )
 def m01(v):
-    params = training.train(stays_plan(v, ORIGIN), CONFIG)
+    params = training.train(stays_plan(v, ORIGIN, with_features=False), CONFIG)
     return params.select("HotelID", "day_ahead", "target_lead", *quantile_columns())
 
 
@@ -66,11 +66,11 @@ FORECAST_SQL = (
 
 
 def params_at_origin(v):
-    return training.train(stays_plan(v, ORIGIN), CONFIG)
+    return training.train(stays_plan(v, ORIGIN, with_features=False), CONFIG)
 
 
 def matrix_at_origin(v):
-    return inference.inference_matrix(confirmed(v), CONFIG, v.hotel_config, ORIGIN)
+    return inference.inference_matrix(confirmed(v), CONFIG, v.hotel_config, ORIGIN, with_features=False)
 
 
 @check(
@@ -82,7 +82,7 @@ def matrix_at_origin(v):
        from paths""",
 )
 def m03(v):
-    rows = features.inference_rows(matrix_at_origin(v), CONFIG.lags)
+    rows = features.inference_rows(matrix_at_origin(v))
     long = results.explode_path(predict.pickup_predict(rows, params_at_origin(v)), *predict.RAW)
     return rounded(long, *predict.RAW)
 
@@ -212,7 +212,7 @@ def g11(v):
               else 'No training rows' end as message from asked""",
 )
 def m09_training(v):
-    params = training.train(stays_plan(v, date(1995, 1, 6)), CONFIG)
+    params = training.train(stays_plan(v, date(1995, 1, 6), with_features=False), CONFIG)
     more = v.bookings.select(F.concat(F.lit("x"), F.col("HotelID")).alias("HotelID")).distinct()
     asked = v.hotel_config.select("HotelID").unionByName(more)
     return results.training_run(asked, params, "REVENUE", "run1", datetime(2001, 6, 15)).drop("timestamp")

@@ -207,12 +207,12 @@ def p07(v):
     return features.days_ahead(stays, wm)
 
 
-def stays_plan(v, partition_date=None, config=CONFIG, calendar_features=False):
+def stays_plan(v, partition_date=None, config=CONFIG, calendar_features=False, with_features=True):
     listed = tables.exclusion_scan(v.exclusions, "main_training_pipeline")
     hotels = tables.clean_hotels(v.hotel_config) if calendar_features else None
     days_off = holidays(v, *booked_span(v)) if calendar_features else None
     return training.training_stays(
-        v.bookings, v.transactions, v.booking_status, config, hotels, days_off, listed, partition_date
+        v.bookings, v.transactions, v.booking_status, config, hotels, days_off, listed, partition_date, with_features
     )
 
 

@@ -23,10 +23,12 @@ def inference_matrix(
     hotels: DataFrame,
     start: date | Column,
     holidays: DataFrame | None = None,
+    with_features: bool = True,
 ) -> DataFrame:
     """Stays after `start` with the pace known at `start`, days ahead, settings, calendar and lags.
 
-    The window is as long as the longest inference length; rows past a hotel's own length are dropped.
+    The window is as long as the longest inference length; rows past a hotel's own length are dropped. Pickup
+    forecasts read no lags or calendar, so they may do without `with_features`.
     """
     value = target_column(config.target_type)
     first = start if isinstance(start, Column) else F.lit(start)
@@ -36,12 +38,12 @@ def inference_matrix(
     matrix = clean.attach_config(features.days_ahead(matrix, first), hotels, *SETTINGS)
     matrix = matrix.where(F.col("day_ahead") <= F.col("inference_length"))
     matrix = matrix.withColumn("pace", A.trim_pace(F.col("pace"), F.col("lead_window")))
-    if config.lags:
+    if config.lags and with_features:
         # only stays that a lag can reach are read
         reached = F.col("stay_date").between(F.date_sub(first, max(config.lags)), F.date_add(first, longest))
         totals = confirmed.where(reached).groupBy(*pace.KEYS).agg(F.sum(value).alias("total"))
         matrix = matrix.join(features.lag_totals(totals, "total", config.lags), list(pace.KEYS), "left")
-    if holidays is not None:
+    if holidays is not None and with_features:
         matrix = features.with_calendar(matrix, hotels, holidays)
     return matrix
 
@@ -49,7 +51,8 @@ def inference_matrix(
 def repaired_paths(matrix: DataFrame, params: DataFrame, config: RunConfig, method: str = "pickup") -> DataFrame:
     """Predicted, filled, repaired and (for rooms) capped paths, one row per hotel and stay."""
     keep = ("available_rooms", "forecast_currency")
-    rows = features.inference_rows(matrix, config.lags, config.pace_features, keep)
+    lags = () if method == "pickup" else config.lags
+    rows = features.inference_rows(matrix, lags, config.pace_features, keep)
     forecast = predict.pickup_predict if method == "pickup" else predict.linear_predict
     predicted = forecast(rows, params, config.quantiles)
     return repair.repair_arrays(predicted, "available_rooms" if config.target_type == "ROOMS" else None)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -72,21 +73,23 @@ def training_stays(
     holidays: DataFrame | None = None,
     exclusions: DataFrame | None = None,
     partition_date: date | Column | None = None,
+    with_features: bool = True,
 ) -> DataFrame:
     """One compact row per hotel and stay: cells, targets, lags, calendar, excluded ranges taken out.
 
-    Everything joins on (hotel, stay) here; snapshots are exploded later from the compact row.
+    Everything joins on (hotel, stay) here; snapshots are exploded later from the compact row. The pickup fit
+    reads no lags or calendar: without `with_features` their joins are not made.
     """
     cut = partition_date or config.partition_date or clean.watermark(bookings)
     targets = min(100, config.lead_window) if isinstance(config, FarFieldConfig) else config.horizon
     # lags look back, so the cut may come first: both uses below then share one shuffle of the bookings
     stays = clean.train_cut(stays_from(aware_bookings(bookings, transactions, lookup, config), config, targets), cut)
     out = stays
-    if config.lags:
+    if config.lags and with_features:
         out = out.join(features.lag_totals(stays.select(*pace.KEYS, "total"), "total", config.lags), list(pace.KEYS), "left")
     if hotels is not None and "lead_window" in hotels.columns:
         out = out.join(hotels.select("HotelID", "lead_window"), "HotelID", "left")
-    if hotels is not None and holidays is not None:
+    if hotels is not None and holidays is not None and with_features:
         out = features.with_calendar(out, hotels, holidays)
     if exclusions is not None:
         out = exclude.drop_excluded(out, exclude.latest_config(exclusions))
@@ -115,7 +118,7 @@ def model_rows(stays: DataFrame, config: RunConfig) -> DataFrame:
 
 def train(stays: DataFrame, config: RunConfig, method: str = "pickup") -> DataFrame:
     """Parameter table of one method, near or far field by the kind of config."""
-    rows = model_rows(stays, config)
+    rows = model_rows(stays, config if method != "pickup" else replace(config, lags=()))
     far_step = config.step if isinstance(config, FarFieldConfig) else None
     if method == "pickup":
         return fit.pickup_fit(rows, config.quantiles, far_step)
