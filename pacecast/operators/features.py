@@ -148,16 +148,19 @@ def rows_from_cells(
     n_pace: int | None = None,
     snapshot_offset: int = 1,
     far_step: int | None = None,
+    keep=(),
 ) -> DataFrame:
     """Same rows as near_field_rows / far_field_rows, straight from cells and targets.
 
-    Only the asked-for distances are exploded, and only the slots that a distance may see are worked out.
+    Only the asked-for distances (a list, or an array column) are exploded, and only the slots that a distance
+    may see are worked out.
     """
     d = F.col("day_ahead")
     k = d - snapshot_offset
     top = F.lit(lead_window) if n_pace is None else F.least(d + n_pace, F.lit(lead_window))
     y = _near_targets(d) if far_step is None else F.array(F.get("target", d - far_step))
-    spread = split_cells(stays, lead_window).withColumn("day_ahead", F.explode(F.lit(list(distances))))
+    wanted = distances if isinstance(distances, Column) else F.lit(list(distances))
+    spread = split_cells(stays, lead_window).withColumn("day_ahead", F.explode(wanted))
     lasting, gone = F.col("lasting"), F.col("gone")
     seen = A.snapshot_between(lasting, gone, k, d, top)
     if "lead_window" in stays.columns:  # a hotel's own window: farther slots read 0, as they do at inference
@@ -165,6 +168,7 @@ def rows_from_cells(
     return spread.select(
         *KEYS,
         "day_ahead",
+        *keep,
         y.alias("y"),
         (F.get(lasting, d) + A.booked_at(A.kept_cells(gone, k), d)).alias("base"),
         _vector(stays, seen, lags, d).alias("x"),

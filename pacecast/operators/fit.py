@@ -97,7 +97,8 @@ def linear_fit(
     """Linear pinball fit on all features; numpy solves one (hotel, distance) group at a time.
 
     All targets of a distance share one group, so features travel once, not once per target and quantile.
-    With `recursive`, each path point also sees the earlier points of its path.
+    With `recursive`, each path point also sees the earlier points of its path. Rows that carry a `part` are
+    already placed by hotel and part (plans.training.placed_rows) and are not shuffled again.
     """
     check_quantiles(quantiles)
     quantiles = list(quantiles)
@@ -105,5 +106,7 @@ def linear_fit(
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         return _fit_group(pdf, quantiles, far_step, recursive)
 
+    if "part" in rows.columns:
+        return rows.select("part", *GROUP, "y", "x").groupBy("part", *GROUP).applyInPandas(fit, LINEAR_PARAMS)
     picked = rows.select(*GROUP, "y", "x").repartition(tasks or work_tasks(rows.sparkSession), *GROUP)
     return picked.groupBy(*GROUP).applyInPandas(fit, LINEAR_PARAMS)

@@ -106,23 +106,44 @@ def write_matrix(stays: DataFrame, config: RunConfig, target: str) -> None:
     sinks.overwrite(training_matrix(sinks.rebalance(stays, "HotelID"), config), target, spread=False)
 
 
-def model_rows(stays: DataFrame, config: RunConfig) -> DataFrame:
-    if isinstance(config, FarFieldConfig):
-        return features.rows_from_cells(
-            stays, config.points, config.lead_window, config.lags, config.pace_features, 0, config.step
-        )
+def _distances(config: RunConfig) -> list[int]:
+    return list(config.points) if isinstance(config, FarFieldConfig) else list(range(1, config.horizon + 1))
+
+
+def model_rows(stays: DataFrame, config: RunConfig, distances: Column | None = None, keep=()) -> DataFrame:
+    far = isinstance(config, FarFieldConfig)
     return features.rows_from_cells(
-        stays, range(1, config.horizon + 1), config.lead_window, config.lags, config.pace_features
+        stays,
+        _distances(config) if distances is None else distances,
+        config.lead_window,
+        config.lags,
+        config.pace_features,
+        snapshot_offset=0 if far else 1,
+        far_step=config.step if far else None,
+        keep=keep,
     )
 
 
+def placed_rows(stays: DataFrame, config: RunConfig, parts: int = 4, tasks: int | None = None) -> DataFrame:
+    """Model rows with their features worked out after the shuffle.
+
+    Compact stays are copied once per part and placed by (hotel, part); a part explodes only its share of the
+    distances. So `parts` compact rows a stay travel, not a feature vector for every distance, and a hotel
+    still spreads over `parts` tasks.
+    """
+    copied = stays.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    placed = copied.repartition(tasks or pace.work_tasks(stays.sparkSession), "part", "HotelID")
+    numbered = F.lit(_distances(config))
+    share = F.filter(numbered, lambda _, i: i % parts == F.col("part"))
+    return model_rows(placed, config, share, keep=("part",))
+
+
 def train(stays: DataFrame, config: RunConfig, method: str = "pickup") -> DataFrame:
     """Parameter table of one method, near or far field by the kind of config."""
-    rows = model_rows(stays, config if method != "pickup" else replace(config, lags=()))
     far_step = config.step if isinstance(config, FarFieldConfig) else None
     if method == "pickup":
-        return fit.pickup_fit(rows, config.quantiles, far_step)
-    return fit.linear_fit(rows, config.quantiles, far_step, config.recursive)
+        return fit.pickup_fit(model_rows(stays, replace(config, lags=())), config.quantiles, far_step)
+    return fit.linear_fit(placed_rows(stays, config), config.quantiles, far_step, config.recursive)
 
 
 def holdout(stays: DataFrame, config: RunConfig) -> tuple[DataFrame, DataFrame]:

@@ -66,6 +66,25 @@ def test_grouped_fit_keeps_its_partitions(inputs):
     assert plan.count("REPARTITION_BY_NUM") == 2 and ", 24), REPARTITION_BY_NUM" in plan
 
 
+def test_linear_training_shuffles_compact_rows_only(inputs):
+    """Features are worked out after the last exchange, and no exchange follows them."""
+    config = RunConfig(horizon=7, snapshots=7, lags=(7, 14), pace_features=5)
+    plan = physical(training.train(stays_plan(inputs, config=config), config, "linear"))
+    top = plan[: plan.index("REPARTITION_BY_NUM")]
+    assert "FlatMapGroupsIn" in top and "Generate explode" in top and top.count("Exchange") == 1
+
+
+def test_placed_and_plain_rows_fit_alike(inputs):
+    config = RunConfig(horizon=3, snapshots=3, lags=(7,), pace_features=3)
+    stays = stays_plan(inputs, config=config)
+    a, b = (
+        {(r.HotelID, r.day_ahead, r.target_lead): r.intercepts for r in df.collect()}
+        for df in (training.train(stays, config, "linear"), fit.linear_fit(training.model_rows(stays, config)))
+    )
+    assert a.keys() == b.keys() and len(a) == 5 * 6
+    assert all(a[k] == pytest.approx(b[k], rel=1e-3, abs=1e-3) for k in a)
+
+
 def test_snapshots_are_exploded_after_the_last_shuffle(inputs):
     plan = physical(training.training_matrix(stays_plan(inputs), RunConfig()))
     generate = plan.index("Generate explode")
