@@ -382,8 +382,35 @@ def m02(v):
     return training.train(stays_plan(v, ORIGIN, SHORT, calendar_features=True), SHORT, "linear")
 
 
-@check("m04_recursive_path")
-def m04(v):
+@check(
+    "m02_linear_fit_beats_constant",
+    "confirmed exclusions",
+    "with " + KEPT_SQL.format(cut=f"date '{ORIGIN}'").strip() + """
+       select HotelID, cast(d as int) as day_ahead, cast(l as int) as target_lead, count(*) as n_rows,
+         true as low_fits, true as med_fits, true as high_fits
+       from kept cross join (select unnest(generate_series(1, 7)) as d) a cross join (select unnest(generate_series(0, 6)) as l) b
+       where l < d group by 1, 2, 3""",
+)
+def m02_quality(v):
+    """In-sample pinball loss of every fitted line against the plain quantile of its targets."""
+    stays = stays_plan(v, ORIGIN, SHORT, calendar_features=True)
+    predicted = predict.linear_predict(training.model_rows(stays, SHORT), training.train(stays, SHORT, "linear"))
+    long = results.explode_path(predicted, "y", *predict.RAW)
+    keys = ["HotelID", "day_ahead", "target_lead"]
+    constant = long.groupBy(*keys).agg(F.percentile("y", F.array(*map(F.lit, SHORT.quantiles))).alias("q"))
+
+    def loss(forecast, q):
+        rest = F.col("y") - forecast
+        return F.avg(F.greatest(rest * q, rest * (q - 1)))
+
+    named = zip(("low_fits", "med_fits", "high_fits"), predict.RAW, SHORT.quantiles)
+    fits = [
+        (loss(F.col(raw), q) <= loss(F.col("q")[i], q) * 1.01 + 1e-6).alias(name) for i, (name, raw, q) in enumerate(named)
+    ]
+    return long.join(constant, keys).groupBy(*keys).agg(F.count("*").alias("n_rows"), *fits)
+
+
+def recursive_forecast(v):
     params = training.train(stays_plan(v, ORIGIN, SHORT_PATH, calendar_features=True), SHORT_PATH, "linear")
     hotels = tables.clean_hotels(v.hotel_config).withColumn("inference_length", F.lit(7))
     days_off = holidays(v, *booked_span(v))
@@ -391,6 +418,35 @@ def m04(v):
     return inference.forecast(matrix, params, SHORT_PATH, "run1", datetime(2001, 6, 15), "linear")
 
 
+@check("m04_recursive_path")
+def m04(v):
+    return recursive_forecast(v)
+
+
+@check(
+    "m04_path_properties",
+    "confirmed",
+    f"""select HotelID, stay_date, cast(stay_date - date '{ORIGIN}' + 1 as bigint) as points,
+          round(sum(revenue), 6) + 0.0 as known_pace, true as never_falls, true as bands_ordered
+        from confirmed where stay_date > date '{ORIGIN}' and stay_date <= date '{ORIGIN}' + 7
+          and confirmation_date <= date '{ORIGIN}' group by 1, 2""",
+)
+def m04_properties(v):
+    path = F.array_sort(F.collect_list(F.struct("day_index", "y_med")))
+    ordered = (F.col("y_lower") <= F.col("y_med")) & (F.col("y_med") <= F.col("y_upper"))
+    predicted = F.col("day_index") > 0
+    per_stay = recursive_forecast(v).groupBy("HotelID", "stay_date").agg(
+        F.count("*").alias("points"),
+        r6(F.max(F.when(~predicted, F.col("y_med")))).alias("known_pace"),
+        F.filter(path, lambda p: p["day_index"] > 0).alias("path"),
+        F.bool_and(ordered).alias("bands_ordered"),
+    )
+    medians = F.transform("path", lambda p: p["y_med"])
+    return per_stay.select(
+        "HotelID", "stay_date", "points", "known_pace", (medians == F.array_sort(medians)).alias("never_falls"), "bands_ordered"
+    )
+
+
 @check(
     "m06_missing_distances",
     "confirmed hotel_config",
