@@ -10,7 +10,7 @@ from checks.q_pace import KEPT_SQL, booked_span, holidays, stays_plan
 from checks.q_rows import CONFIG, aware, confirmed
 from checks.registry import check, off_edge, r6, rounded
 from pacecast.config import FarFieldConfig, RunConfig
-from pacecast.operators import clean, features, fit, monitor, pace, predict, repair, results, versions
+from pacecast.operators import clean, features, monitor, predict, repair, results, versions
 from pacecast.plans import backtest, farfield, inference, training
 from pacecast.sources import tables
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, r6, rounded
 from pacecast.config import RunConfig
-from pacecast.operators import clean, exclude, features, monitor, pace
+from pacecast.operators import clean, exclude, monitor, pace
 from pacecast.plans import training
 from pacecast.sources import tables
 
