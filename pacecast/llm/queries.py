@@ -8,13 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacecast.llm import decontam, sharding, simhash, tokenbin
+from pacecast.llm import decontam, sharding, simhash, sptok, tokenbin
 from pacecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 END_ID = 2
 
 
@@ -26,6 +26,17 @@ def query(name: str):
     return register
 
 
+@query("op4_sentencepiece")
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sptok.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -48,7 +59,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The words of a text, as in decontam.words.
 _SQL_WORDS = (
     "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
-    "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), x -> x <> '')"
+    "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 )
 ORACLES["op8_decontamination"] = f"""
 with items as (select cast(item_id as varchar) as item_id, {_SQL_WORDS} as w from benchmark),

@@ -81,8 +81,7 @@ class WordCache:
         heads = [p.pop(0) for p in parts]
         unknown = [h for h in dict.fromkeys(heads) if h not in self.first]
         self.first.update(zip(unknown, self._packed(unknown)))
-        need = set(chain.from_iterable(parts))
-        need.difference_update(self.after_space)
+        need = [u for u in set(chain.from_iterable(parts)) if u not in self.after_space]
         long = [u for u in need if len(u) > self.LONGEST_UNIT]
         self._learn([u for u in need if len(u) <= self.LONGEST_UNIT])
         self.after_space.update(zip(long, self._packed([" " + u for u in long])))
