@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pacecast.llm.common import map_texts, rows_for, staged, texts_of
 
 SHINGLE, MOST_BITS, SEED = 3, 2, 42
-NODE_ROWS, MOST_NODES = 50_000, 4096
+NODE_ROWS, MOST_NODES = 100_000, 4096
 TASK_VISITORS = 200_000
 GROUP, LEAF = 256, 16
 NO_ID = (1 << 63) - 1
@@ -197,36 +197,43 @@ def near_links(distinct: DataFrame, most: int = MOST_BITS, node_rows: int = NODE
     n = distinct.count()
     cuts, masks, patterns = _nodes(distinct, n, node_rows)
 
-    def route(batches):
+    def routed(batch):
+        """(node, row) of all nodes that a batch's fingerprints go to, and each row's own node."""
+        fp = batch.column("fp").to_numpy().view(np.uint64)
+        home = np.searchsorted(cuts, batch.column("rank").to_numpy(), side="right")
+        near = np.bitwise_count((fp[:, None] ^ patterns) & masks) <= most
+        near &= np.arange(len(masks)) >= home[:, None]
+        who, node = np.nonzero(near)
+        return node, who, fp, home
+
+    def count(batches):
+        visits = np.zeros(len(masks), np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                fp = part.column("fp").to_numpy()
-                home = np.searchsorted(cuts, part.column("rank").to_numpy(), side="right")
-                near = np.bitwise_count((fp.view(np.uint64)[:, None] ^ patterns) & masks) <= most
-                near &= np.arange(len(masks)) >= home[:, None]
-                who, node = np.nonzero(near)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node.astype(np.int32)), pa.array(fp[who]), pa.array(home[who] == node)],
-                    names=["node", "fp", "resident"],
-                )
-
-    routed = distinct.mapInArrow(route, "node int, fp long, resident boolean")
-    visits = routed.where(~F.col("resident")).groupBy("node").agg(F.count(F.lit(1)).alias("n")).collect()
-    deals = {r["node"]: -(-r["n"] // TASK_VISITORS) for r in visits}
-    deal = np.array([max(1, deals.get(i, 1)) for i in range(len(masks))], np.int64)
+                node, who, _, home = routed(batch.slice(at, 4096))
+                visits += np.bincount(node[home[who] != node], minlength=len(masks))
+        found = np.flatnonzero(visits)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(visits[found])], names=["node", "n"])
+
+    # A row a node: MOST_NODES at most.
+    visits = distinct.mapInArrow(count, "node int, n long").groupBy("node").agg(F.sum("n").alias("n")).collect()
+    deal = np.ones(len(masks), np.int64)
+    for r in visits:
+        deal[r["node"]] = -(-r["n"] // TASK_VISITORS)
 
     def dealt(batches):
         for batch in batches:
-            node, fp = batch.column("node").to_numpy(), batch.column("fp").to_numpy()
-            resident = batch.column("resident").to_numpy(zero_copy_only=False)
-            times = np.where(resident, deal[node], 1)
-            row = np.repeat(np.arange(len(node)), times)
-            nth = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-            mixed = (fp[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-            share = np.where(resident[row], nth, mixed.astype(np.int64) % deal[node[row]])
-            columns = [node[row], share.astype(np.int32), fp[row], resident[row]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "share", "fp", "resident"])
+            for at in range(0, batch.num_rows, 4096):
+                node, who, fp, home = routed(batch.slice(at, 4096))
+                resident = home[who] == node
+                times = np.where(resident, deal[node], 1)
+                row = np.repeat(np.arange(len(node)), times)
+                nth = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                own = fp[who[row]]
+                mixed = ((own * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64)
+                share = np.where(resident[row], nth, mixed % deal[node[row]])
+                columns = [node[row].astype(np.int32), share.astype(np.int32), own.view(np.int64), resident[row]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "share", "fp", "resident"])
 
     def link(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
         fp, resident = found.column("fp").to_numpy(), found.column("resident").to_numpy()
@@ -236,7 +243,7 @@ def near_links(distinct: DataFrame, most: int = MOST_BITS, node_rows: int = NODE
         a, b = spanning_links(queries, own, most) if len(own) and len(queries) else (fp[:0], fp[:0])
         return pa.table({"a": a, "b": b})
 
-    placed = routed.mapInArrow(dealt, "node int, share int, fp long, resident boolean")
+    placed = distinct.mapInArrow(dealt, "node int, share int, fp long, resident boolean")
     return placed.groupBy("node", "share").applyInArrow(link, "a long, b long")
 
 
