@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pacecast.llm.common import join_null_safe, rows_for, texts_of
 
 SEED = "interleave-1"
-SLICE_ROWS = 50_000
+SLICE_ROWS = 5_000
 
 
 def _numbered(df: DataFrame, group: list[str], cut: str, order: list, name: str) -> DataFrame:
