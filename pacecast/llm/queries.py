@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacecast.llm import decontam, sharding, simhash, sptok, tokenbin
+from pacecast.llm import decontam, langid, sharding, simhash, sptok, tokenbin, toxicity
 from pacecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,20 @@ def query(name: str):
     return register
 
 
+def remainder(of: int) -> F.Column:
+    """crc32 of the doc_id as text, modulo; null ids count as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(of))
+
+
+@query("op1_language")
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trees = langid.train(docs, remainder(4) != 2)
+    return langid.predict(docs, trees).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "bits_per_byte"
+    )
+
+
 @query("op4_sentencepiece")
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sptok.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
@@ -43,6 +57,21 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+TOXIC_FROM = 0.7
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, remainder(3) != 1)
+    return toxicity.score_texts(docs, model).select(
+        "doc_id",
+        (remainder(3) == 1).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query("op8_decontamination")
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
