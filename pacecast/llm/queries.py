@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacecast.llm import decontam, langid, sharding, simhash, sptok, tokenbin, toxicity
+from pacecast.llm import decontam, langid, lengths, quality, sharding, simhash, sptok, tokenbin, toxicity
 from pacecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,14 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
 @query("op4_sentencepiece")
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sptok.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
@@ -72,6 +80,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_token_lengths")
+def op7_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = lengths.histogram(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), "lang")
+    return lengths.limits(counts).withColumnRenamed("group", "lang")
+
+
 @query("op8_decontamination")
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
