@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacecast.llm import decontam, langid, lengths, quality, sharding, simhash, sptok, tokenbin, toxicity
+from pacecast.llm import decontam, langid, lengths, pii, quality, sharding, simhash, sptok, tokenbin, toxicity
 from pacecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,19 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_personal_data")
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), pii.train())
+    kinds = F.split("base", ",")
+    count = lambda kind: F.size(F.filter(kinds, lambda s: s.startswith(f"{kind}:"))).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -225,7 +225,7 @@ def fit_weighted(x: np.ndarray, y: np.ndarray, n: np.ndarray, penalty: float = P
     return weights, mean, deviation
 
 
-def score_texts(docs: DataFrame, model: ToxicityModel, *kept: str) -> DataFrame:
+def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id and score of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -235,3 +235,15 @@ def score_texts(docs: DataFrame, model: ToxicityModel, *kept: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(m.score(evidence))], names=["doc_id", "score"])
 
     return map_texts(texts_of(docs), "doc_id long, score double", run)
+
+
+def kept_rows(docs: DataFrame, model: ToxicityModel, limit: float) -> DataFrame:
+    """The rows, with all their columns, whose text scores below `limit`."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in small_batches(batches):
+            evidence = np.array([sent.value.models.evidence(t or "") for t in batch.column("text").to_pylist()])
+            yield batch.filter(pa.array(sent.value.score(evidence) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
