@@ -11,7 +11,7 @@ A text's score compares the two log-likelihoods expression by expression, relati
 out what only its language or subject does); differences within MARGIN nats count as none. The excess, normalised by
 the number of expressions and by its root, goes through a logistic fit on a fold of labelled rows that the counts have
 not seen. All labelled training rows are counted; words of fewer than LEAST texts are one shared rare word. What tasks
-get is bounded: MOST_WORDS words and MOST_PAIRS word pairs, the most frequent ones.
+get is bounded: MOST_WORDS words, the most frequent ones, and MOST_PAIRS pairs of the most frequent and most telling.
 
 Null and empty texts have no expressions and get the score of no evidence. Labels that are null are left out; a
 document without label, or labels of one class alone, leave a model that knows nothing (every score is the prior).
@@ -32,7 +32,9 @@ from pacecast.llm.common import map_texts, small_batches, staged, texts_of
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST_WORD = 40
-LEAST, MOST_WORDS, MOST_PAIRS = 3, 200_000, 300_000
+LEAST, MOST_WORDS, MOST_PAIRS = 3, 100_000, 50_000
+PAIR_WORDS = 1_000  # so many most frequent words, and so many most telling ones, form pairs
+SENT_LABELS = 1_000_000  # up to so many labels go to every task (about 16 MB); beyond, texts and labels are shuffled
 DISCOUNT, PAIR_DISCOUNT, SHARED_DISCOUNT, MARGIN = 3.0, 3.0, 0.75, 1.5
 RARE = ""
 CALIBRATION_FOLDS = 5  # one of these many folds of the training rows calibrates
@@ -49,6 +51,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, trainable: Column) -> Data
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     marks = marks.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_FOLDS)) == 0
+    if marks.count() <= SENT_LABELS:
+        marks = F.broadcast(marks)
     return texts.join(marks, "doc_id").select("text", "toxic", fold.alias("calibrates"))
 
 
@@ -159,23 +163,22 @@ def train(docs: DataFrame, labels: DataFrame, trainable: Column) -> ToxicityMode
     counted = staged(_counted(counting, "word", lambda t: set(words(t))), "word-counts")
     both = F.col("ordinary") + F.col("toxic")
     kept = counted.where((both >= LEAST) & (F.length("word") <= LONGEST_WORD))
-    kept = kept.orderBy(both.desc(), "word").limit(MOST_WORDS).collect()
-    unigrams = {r["word"]: (r["ordinary"], r["toxic"]) for r in kept}
+    kept = kept.orderBy(both.desc(), "word").limit(MOST_WORDS).toArrow().to_pydict()
+    unigrams = dict(zip(kept["word"], zip(kept["ordinary"], kept["toxic"])))
     sums = counted.agg(F.coalesce(F.sum("ordinary"), F.lit(0.0)), F.coalesce(F.sum("toxic"), F.lit(0.0))).first()
     rest = np.maximum(np.array(sums, np.float64) - np.array([*unigrams.values(), (0.0, 0.0)]).sum(0), 0)
-    spark, vocabulary = docs.sparkSession, frozenset(unigrams)
-    sent = spark.sparkContext.broadcast(vocabulary)  # MOST_WORDS words of LONGEST_WORD characters at most
+    alone = KneserNey(unigrams, rest, {}, {})
+    telling = sorted(unigrams, key=lambda w: (-abs(alone.ratio[w]), w))[:PAIR_WORDS]
+    spark, paired_words = docs.sparkSession, frozenset([*list(unigrams)[:PAIR_WORDS], *telling])
+    sent = spark.sparkContext.broadcast(paired_words)  # 2 * PAIR_WORDS words of LONGEST_WORD characters at most
 
     def pairs_in(text: str) -> set[str]:
-        ws = words(text)
-        return {f"{a} {b}" for a, b in zip(ws, ws[1:]) if a in sent.value and b in sent.value}
+        ws, known = words(text), sent.value
+        return {f"{a} {b}" for a, b in zip(ws, ws[1:]) if a in known and b in known}
 
     paired = staged(_counted(counting, "pair", pairs_in), "pair-counts")
-    totals = np.array([*unigrams.values(), rest], np.float64).reshape(-1, 2).sum(0)
-    scale = np.minimum(1.0, totals[::-1] / np.maximum(totals, 1e-9)).tolist()
-    first = F.substring_index("pair", " ", 1)
-    by_class = {c: F.col(c) * scale[i] for i, c in enumerate(("ordinary", "toxic"))}
-    heads = paired.groupBy(first.alias("h")).agg(
+    by_class = {c: F.col(c) * float(alone.scale[i]) for i, c in enumerate(("ordinary", "toxic"))}
+    heads = paired.groupBy(F.substring_index("pair", " ", 1).alias("h")).agg(
         *[F.sum(x).alias(f"all_{c}") for c, x in by_class.items()],
         *[F.sum(F.least(x, F.lit(PAIR_DISCOUNT))).alias(f"kept_{c}") for c, x in by_class.items()],
         F.sum(both).alias("both"),
@@ -185,10 +188,11 @@ def train(docs: DataFrame, labels: DataFrame, trainable: Column) -> ToxicityMode
         r["h"]: (
             (r["all_ordinary"], r["all_toxic"]), (r["kept_ordinary"], r["kept_toxic"]), (r["both"], r["kinds"])
         )
-        for r in heads.collect()
+        for r in heads.collect()  # a row a paired word
     }
-    telling = paired.where(F.greatest(*by_class.values()) > PAIR_DISCOUNT).orderBy(both.desc(), "pair").limit(MOST_PAIRS)
-    pairs = {r["pair"]: (r["ordinary"], r["toxic"]) for r in telling.collect()}
+    found = paired.where(F.greatest(*by_class.values()) > PAIR_DISCOUNT).orderBy(both.desc(), "pair").limit(MOST_PAIRS)
+    found = found.toArrow().to_pydict()
+    pairs = dict(zip(found["pair"], zip(found["ordinary"], found["toxic"])))
     models = KneserNey(unigrams, rest, pairs, contexts)
     shipped = spark.sparkContext.broadcast(models)
 
