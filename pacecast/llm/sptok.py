@@ -201,15 +201,23 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The library's decode: the first piece loses its leading space, bad bytes become U+FFFD each."""
-        surface = self.surface
-        out = b"".join(map(surface.__getitem__, ids))
-        first = next((i for i in ids if i not in self.control), None)
-        if first in self.led:
-            out = out[1:]
-        try:
-            return out.decode()
-        except UnicodeDecodeError:
-            return out.decode("utf-8", "llm-replace-each")
+        surface, runs = self.surface, [ids]
+        if not self.control.isdisjoint(ids[:-1]):  # bytes on both sides of a control id make no character together
+            runs = [[]]
+            for i in ids:
+                if i in self.control:
+                    runs.append([])
+                else:
+                    runs[-1].append(i)
+        first, out = next((i for i in ids if i not in self.control), None), []
+        for run in runs:
+            text = b"".join(map(surface.__getitem__, run))
+            try:
+                out.append(text.decode())
+            except UnicodeDecodeError:
+                out.append(text.decode("utf-8", "llm-replace-each"))
+        joined = "".join(out)
+        return joined[1:] if first in self.led else joined
 
 
 _loaded: dict[str, Pieces] = {}
