@@ -11,10 +11,11 @@ from checks.q_rows import CONFIG, aware, confirmed
 from checks.registry import check, off_edge, r6, rounded
 from pacecast.config import FarFieldConfig, RunConfig
 from pacecast.operators import clean, features, monitor, predict, repair, results, versions
-from pacecast.plans import backtest, farfield, inference, training
+from pacecast.plans import backtest, farfield, inference, monitoring, training
 from pacecast.sources import tables
 
 ORIGIN = date(2001, 6, 15)
+PUBLISHED = date(2001, 7, 2)  # early enough for bookings after it
 FIRST, LAST, STEP = date(2000, 1, 1), date(2000, 12, 1), 14
 
 
@@ -59,18 +60,22 @@ paths as (select HotelID, stay_date, d, l, d - l as day_index, base,
 top as (select *, greatest(max(med) over w, med) as top_med, first_value(med) over w as first_med from paths
   window w as (partition by HotelID, stay_date order by day_index rows unbounded preceding))"""
 
-FORECAST_SQL = (
-    "with " + KEPT_SQL.format(cut=f"date '{ORIGIN}'").strip() + "," + PICKUP_SQL + ","
-    + PATHS_SQL.format(o=f"date '{ORIGIN}'")
-)
 
 
-def params_at_origin(v):
-    return training.train(stays_plan(v, ORIGIN, with_features=False), CONFIG)
+def forecast_sql(origin: date) -> str:
+    cut = f"date '{origin}'"
+    return "with " + KEPT_SQL.format(cut=cut).strip() + "," + PICKUP_SQL + "," + PATHS_SQL.format(o=cut)
+
+
+FORECAST_SQL = forecast_sql(ORIGIN)
+
 
+def params_at_origin(v, origin=ORIGIN):
+    return training.train(stays_plan(v, origin, with_features=False), CONFIG)
 
-def matrix_at_origin(v):
-    return inference.inference_matrix(confirmed(v), CONFIG, v.hotel_config, ORIGIN, with_features=False)
+
+def matrix_at_origin(v, origin=ORIGIN):
+    return inference.inference_matrix(confirmed(v), CONFIG, v.hotel_config, origin, with_features=False)
 
 
 @check(
@@ -96,12 +101,12 @@ def m03(v):
            med as y_med_raw, hi as y_upper_raw, lo as y_lower_raw from top
          union all
          select distinct HotelID, stay_date, 0, d, base, base, base, base, base, base from paths)
-       select HotelID, 'run1' as run_id, stay_date, cast(stay_date - l as date) as booking_date, 1 as model_version,
+       select HotelID, 'run1' as run_id, stay_date, cast(stay_date - cast(l as int) as date) as booking_date, 1 as model_version,
          false as pms_sync_off, 'USD' as forecast_currency, cast(day_index as int) as day_index,
          round(y_med, 6) + 0.0 as y_med, concat(HotelID, '_REVENUE_PMS_PICKUP_model') as model_name,
          round(y_upper, 6) + 0.0 as y_upper, round(y_lower, 6) + 0.0 as y_lower,
          round(y_med_raw, 6) + 0.0 as y_med_raw, round(y_upper_raw, 6) + 0.0 as y_upper_raw,
-         round(y_lower_raw, 6) + 0.0 as y_lower_raw from fixed""".replace("stay_date - l as", "stay_date - cast(l as int) as"),
+         round(y_lower_raw, 6) + 0.0 as y_lower_raw from fixed""",
 )
 def m07_table(v):
     table = inference.forecast(
@@ -167,6 +172,45 @@ def w07(v):
     return rounded(repair.fill_rows(gaps, PATH, "day_index", "y_med"), "y_med")
 
 
+@check(
+    "m09_failure_reasons",
+    "confirmed hotel_config exclusions aware",
+    FORECAST_SQL + """
+       select HotelID, case HotelID when '1' then 'incomplete' else 'complete' end as status,
+         case HotelID when '1' then 'forecast currency is missing for a revenue forecast'
+           else concat('Successfully processed ', HotelID) end as message,
+         case HotelID when '1' then 1 else count(*) + count(distinct stay_date) end as n
+       from paths group by 1""",
+)
+def m09_reasons(v):
+    """A hotel without a currency fails alone, with its reason; the others complete."""
+    no_currency = F.when(F.col("HotelID") != "1", F.col("forecast_currency"))
+    hotels = v.hotel_config.withColumn("forecast_currency", no_currency)
+    matrix = inference.inference_matrix(confirmed(v), CONFIG, hotels, ORIGIN, with_features=False)
+    table = results.one_failure_each(inference.forecast(matrix, params_at_origin(v), CONFIG, "run1", datetime(2001, 6, 15)))
+    return table.groupBy("HotelID", "status", "message").agg(F.count("*").alias("n"))
+
+
+@check(
+    "n04_from_published",
+    "confirmed hotel_config exclusions aware",
+    forecast_sql(PUBLISHED) + """,
+       seen as (select HotelID, stay_date, stay_date - confirmation_date as l, sum(revenue) as revenue
+         from confirmed group by 1, 2, 3),
+       booked as (select *, sum(revenue) over (partition by HotelID, stay_date order by l desc) as y_true from seen)
+       select t.HotelID, t.stay_date, cast(t.stay_date - cast(t.l as int) as date) as confirmation_date, t.d as day_ahead_index,
+         cast(day_index as int) as booking_index, round(top_med, 6) + 0.0 as y_pred, round(y_true, 6) + 0.0 as y_true,
+         false as pms_sync_off, 'REVENUE' as target_type
+       from top t join booked b on b.HotelID = t.HotelID and b.stay_date = t.stay_date and b.l = t.l where y_true <> 0""",
+)
+def n04_published(v):
+    """Monitoring takes the rows that forecasting publishes."""
+    table = inference.forecast(matrix_at_origin(v, PUBLISHED), params_at_origin(v, PUBLISHED), CONFIG, "run1", datetime(2001, 6, 15))
+    rows = monitoring.summary({"REVENUE": results.completed(table, "REVENUE")}, confirmed(v), PUBLISHED, PUBLISHED)
+    kept = rows.drop("timestamp", "SAPE", "eval_start_date", "eval_end_date", "scored_at")
+    return rounded(kept, "y_pred", "y_true")
+
+
 def results_at_origin(v):
     """Forecasts with failure rows. Hotels are done when they have paths, which is known before these are exploded."""
     matrix, params = matrix_at_origin(v), params_at_origin(v)
@@ -291,16 +335,19 @@ def g10(v):
 
 # Hold-out: fit on stays before each hotel's last 28 days, predict those days at their own distance.
 HOLDOUT_SQL = """
-stays as (select HotelID, max(stay_date) as last from confirmed group by 1),
-kept as (select distinct c.HotelID, c.stay_date from confirmed c join stays s using (HotelID) where c.stay_date < s.last - 28),
-""" + PICKUP_SQL.strip() + """,
-ho as (select b.HotelID, b.stay_date, d, l, base + med as y_pred, t.target as y_true
-  from b join stays s on s.HotelID = b.HotelID and cast(b.stay_date - (s.last - 28) as int) = d
-  join t on t.HotelID = b.HotelID and t.stay_date = b.stay_date and t.l < d
+ends as (select HotelID, max(stay_date) as last from confirmed group by 1),
+cells as materialized (select HotelID, stay_date, lead, gone, sum(revenue) as revenue from aware group by 1, 2, 3, 4),
+b as materialized (select HotelID, stay_date, d, sum(case when lead >= d and gone < d - 1 then revenue else 0 end) as base
+  from cells cross join (select unnest(generate_series(1, 28)) as d) k group by 1, 2, 3),
+t as materialized (select HotelID, stay_date, l, sum(case when lead >= l then revenue else 0 end) as target
+  from cells cross join (select unnest(generate_series(0, 27)) as l) k where gone = -1 group by 1, 2, 3),
+params as (select b.HotelID, b.d, t.l, quantile_cont(target - base, 0.5) as med
+  from b join t on t.HotelID = b.HotelID and t.stay_date = b.stay_date and t.l < b.d
+  join ends e on e.HotelID = b.HotelID and b.stay_date < e.last - 28 group by 1, 2, 3),
+ho as (select b.HotelID, b.stay_date, b.d as d, t.l as l, base + med as y_pred, t.target as y_true
+  from b join ends e on e.HotelID = b.HotelID and cast(b.stay_date - (e.last - 28) as int) = b.d
+  join t on t.HotelID = b.HotelID and t.stay_date = b.stay_date and t.l < b.d
   join params p on p.HotelID = b.HotelID and p.d = b.d and p.l = t.l)"""
-HOLDOUT_SQL = HOLDOUT_SQL.replace("b.stay_date - (s.last - 28) as int) = d", "b.stay_date - (s.last - 28) as int) = b.d").replace(
-    "select b.HotelID, b.stay_date, d, l, base", "select b.HotelID, b.stay_date, b.d as d, t.l as l, base"
-).replace("t.l < d\n", "t.l < b.d\n")
 
 
 def holdout_table(v):
@@ -333,43 +380,58 @@ def g13(v):
 
 
 FAR = FarFieldConfig(lags=())
-FAR_SQL = """
+WIDE = FarFieldConfig(points=(119, 35), lags=())
+
+
+def far_sql(points) -> str:
+    """Cells are summed once; quantiles of a point come from one pass."""
+    return f"""
 ends as (select HotelID, max(stay_date) as last from confirmed group by 1),
-points as (select unnest(generate_series(35, 91, 7)) as p),
-fb as (select HotelID, stay_date, p, sum(case when lead >= p and gone < p then revenue else 0 end) as base,
+points as (select unnest([{", ".join(map(str, points))}]) as p),
+keys as (select distinct HotelID, stay_date from confirmed),
+cells as materialized (select HotelID, stay_date, lead, gone, sum(revenue) as revenue
+  from aware semi join keys using (HotelID, stay_date) group by 1, 2, 3, 4),
+fb as materialized (select HotelID, stay_date, p, sum(case when lead >= p and gone < p then revenue else 0 end) as base,
     sum(case when gone = -1 and lead >= p - 7 then revenue else 0 end) as target
-  from aware cross join points
-  where exists (select 1 from confirmed c where c.HotelID = aware.HotelID and c.stay_date = aware.stay_date) group by 1, 2, 3),
-far as (select fb.HotelID, p, quantile_cont(target - base, 0.1) as lo, quantile_cont(target - base, 0.5) as med,
-    quantile_cont(target - base, 0.9) as hi
-  from fb join ends using (HotelID) where stay_date < last - 91 group by 1, 2)"""
+  from cells cross join points group by 1, 2, 3),
+far as (select fb.HotelID, p, quantile_cont(target - base, [0.1, 0.5, 0.9]) as q
+  from fb join ends using (HotelID) where stay_date < last - {max(points)} group by 1, 2)"""
 
 
-@check(
-    "m05_far_field_fit",
-    "confirmed aware",
-    "with " + FAR_SQL.strip() + """
-       select HotelID, cast(p as int) as day_ahead, cast(p - 7 as int) as target_lead, round(lo, 6) + 0.0 as q_low,
-         round(med, 6) + 0.0 as q_med, round(hi, 6) + 0.0 as q_high from far""",
-)
-def m05(v):
-    split = features.horizon_split(training.stays_from(aware(v), FAR, 100), 91)
-    params = training.train(split.where(~F.col("is_test")), FAR)
+FAR_SQL = far_sql(FAR.points)
+FIT_ROWS = """
+       select HotelID, cast(p as int) as day_ahead, cast(p - 7 as int) as target_lead, round(q[1], 6) + 0.0 as q_low,
+         round(q[2], 6) + 0.0 as q_med, round(q[3], 6) + 0.0 as q_high from far"""
+
+
+def far_fit(v, config):
+    split = features.horizon_split(training.stays_from(aware(v), config), max(config.points))
+    params = training.train(split.where(~F.col("is_test")), config)
     return params.select("HotelID", "day_ahead", "target_lead", *quantile_columns())
 
 
+@check("m05_far_field_fit", "confirmed aware", "with " + FAR_SQL.strip() + FIT_ROWS)
+def m05(v):
+    return far_fit(v, FAR)
+
+
+@check("m05_wide_points", "confirmed aware", "with " + far_sql(WIDE.points).strip() + FIT_ROWS)
+def m05_wide(v):
+    return far_fit(v, WIDE)
+
+
 @check(
     "m12_far_field_results",
     "confirmed aware",
     "with " + FAR_SQL.strip() + """
        select HotelID, cast(last - 91 + cast(p as int) as date) as stay_date, cast(p as int) as prediction_point,
-         round(coalesce(target, 0), 6) + 0.0 as y_true, round(coalesce(base + med, 0), 6) + 0.0 as y_pred,
-         round(coalesce(base + lo, 0), 6) + 0.0 as y_lower, round(coalesce(base + hi, 0), 6) + 0.0 as y_upper
+         round(coalesce(target, 0), 6) + 0.0 as y_true, round(coalesce(base + q[2], 0), 6) + 0.0 as y_pred,
+         round(coalesce(base + q[1], 0), 6) + 0.0 as y_lower, round(coalesce(base + q[3], 0), 6) + 0.0 as y_upper
        from ends cross join points left join far using (HotelID, p)
        left join fb on fb.HotelID = ends.HotelID and fb.p = points.p and fb.stay_date = last - 91 + cast(points.p as int)""",
 )
 def m12(v):
-    found = farfield.evaluate(training.stays_from(aware(v), FAR, 100), FAR)
+    found = farfield.evaluate(training.stays_from(aware(v), FAR), FAR)
     return rounded(found, "y_true", "y_pred", "y_lower", "y_upper")
 
 

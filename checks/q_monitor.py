@@ -13,6 +13,7 @@ from pacecast.plans import monitoring
 from pacecast.sources.tables import forecast_scan
 
 EVAL_START, EVAL_END = date(1995, 1, 1), date(2001, 8, 31)
+RUN = "run_date"  # what tells the runs of the check views apart
 
 ACTUALS_SQL = """
 flagged as (select * from (select c.*, false as pms_sync_off from confirmed c union all
@@ -41,7 +42,7 @@ sapes as (select *, 2 * abs(y_true - y_pred) / (abs(y_true) + abs(y_pred)) as SA
 
 def scored(v):
     tables = {"REVENUE": v.forecasts, "ROOMS": v.room_forecasts}
-    return monitoring.summary(tables, confirmed(v), EVAL_START, EVAL_END, F.lit("2001-09-02").cast("date"))
+    return monitoring.summary(tables, confirmed(v), EVAL_START, EVAL_END, F.lit("2001-09-02").cast("date"), RUN)
 
 
 @check(
@@ -54,11 +55,7 @@ def scored(v):
        from actuals""",
 )
 def n01(v):
-    frames = [
-        monitor.actuals(confirmed(v), EVAL_START, column).withColumn("target_type", F.lit(target))
-        for target, column in (("REVENUE", "revenue"), ("ROOMS", "rooms"))
-    ]
-    return rounded(monitor.union_targets(*frames), "y_true")
+    return rounded(monitor.actuals_by_target(confirmed(v), EVAL_START, monitoring.VALUES), "y_true")
 
 
 @check(
@@ -79,7 +76,7 @@ def n01_without(v):
          day_index as booking_index, round(y_med, 6) + 0.0 as y_pred from forecasts where booking_date > run_date""",
 )
 def n02(v):
-    aligned = monitor.align(v.forecasts)
+    aligned = monitor.align(v.forecasts, RUN)
     return rounded(
         aligned.select(
             "HotelID", "stay_date", "confirmation_date", "run_date", "day_ahead_index", "booking_index", "y_pred"
@@ -108,7 +105,7 @@ def a08(v):
        where target_type = 'REVENUE'""",
 )
 def n03(v):
-    rows = monitor.score(v.forecasts, monitor.actuals(confirmed(v), EVAL_START, "revenue"), "REVENUE")
+    rows = monitor.score(v.forecasts, monitor.actuals(confirmed(v), EVAL_START, "revenue"), "REVENUE", RUN)
     return rounded(rows.drop("target_type"), "y_pred", "y_true", "SAPE")
 
 
@@ -167,7 +164,7 @@ def g12(v):
 )
 def r02(v):
     # runs of the view all start 28 days ahead; the distance of each point itself spreads the grid over its columns
-    rows = monitor.score(v.forecasts, monitor.actuals(confirmed(v), EVAL_START, "revenue"), "REVENUE")
+    rows = monitor.score(v.forecasts, monitor.actuals(confirmed(v), EVAL_START, "revenue"), "REVENUE", RUN)
     ahead = F.datediff("stay_date", "confirmation_date") + 1
     grid = monitor.triangle_grid(monitor.triangle(rows.withColumn("day_ahead_index", ahead)), 28)
     days = [f"d{d}" for d in range(1, 29)]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.q_rows import CONFIG, aware, confirmed
 from checks.registry import check, r6, rounded
+from pacecast.config import RunConfig
 from pacecast.functions.dates import CALENDAR_FEATURES
 from pacecast.operators import features, pace
 from pacecast.plans import training
@@ -208,11 +209,10 @@ def p07(v):
 
 
 def stays_plan(v, partition_date=None, config=CONFIG, calendar_features=False, with_features=True):
-    listed = tables.exclusion_scan(v.exclusions, "main_training_pipeline")
     hotels = tables.clean_hotels(v.hotel_config) if calendar_features else None
     days_off = holidays(v, *booked_span(v)) if calendar_features else None
     return training.training_stays(
-        v.bookings, v.transactions, v.booking_status, config, hotels, days_off, listed, partition_date, with_features
+        v.bookings, v.transactions, v.booking_status, config, hotels, days_off, v.exclusions, partition_date, with_features
     )
 
 
@@ -316,8 +316,8 @@ def p08(v):
     """select HotelID, stay_date, cast(p as int) as day_ahead,
          round(sum(case when lead >= p and gone < p then revenue else 0 end), 6) + 0.0 as base,
          round(sum(case when gone = -1 and lead >= p - 7 then revenue else 0 end), 6) + 0.0 as target,
-         round(sum(case when lead >= p and gone < p then revenue * (least(lead, 150) - p + 1) else 0 end), 4) + 0.0 as seen,
-         cast(151 - p as int) as n_features
+         round(sum(case when lead >= p and gone < p then revenue * (least(lead, 151) - p + 1) else 0 end), 4) + 0.0 as seen,
+         cast(152 - p as int) as n_features
        from aware cross join (select unnest(generate_series(35, 91, 7)) as p) k
        where exists (select 1 from confirmed c where c.HotelID = aware.HotelID and c.stay_date = aware.stay_date)
        group by HotelID, stay_date, p""",
@@ -326,7 +326,7 @@ def p09(v):
     from pacecast.config import FarFieldConfig
 
     config = FarFieldConfig(lags=())
-    rows = training.model_rows(training.stays_from(aware(v), config, 100), config)
+    rows = training.model_rows(training.stays_from(aware(v), config), config)
     total = F.aggregate("x", F.lit(0.0), lambda a, x: a + x)
     return rows.select(
         *pace.KEYS,
@@ -338,6 +338,40 @@ def p09(v):
     )
 
 
+@check(
+    "p08_long_horizon",
+    "confirmed aware",
+    """with b as (select HotelID, stay_date, d, sum(case when lead >= d and gone < d - 1 then revenue else 0 end) as base
+             from aware cross join (select unnest(generate_series(1, 40)) as d) k group by 1, 2, 3),
+       t as (select HotelID, stay_date, d, sum(case when lead >= d - 1 then revenue else 0 end) as tgt_first
+             from confirmed cross join (select unnest(generate_series(1, 40)) as d) k group by 1, 2, 3)
+       select HotelID, stay_date, cast(d as int) as day_ahead, round(base, 6) + 0.0 as base,
+         round(tgt_first, 6) + 0.0 as tgt_first, cast(d as int) as n_targets from b join t using (HotelID, stay_date, d)""",
+)
+def p08_long(v):
+    config = RunConfig(horizon=40, lags=())
+    rows = training.model_rows(training.stays_from(aware(v), config), config)
+    return rows.select(
+        *pace.KEYS, "day_ahead", r6("base").alias("base"), r6(F.get("y", F.lit(0))).alias("tgt_first"), F.size("y").alias("n_targets")
+    )
+
+
+@check(
+    "j07_f10_plan_cuts",
+    "confirmed exclusions",
+    "with " + KEPT_SQL.format(cut="date '2001-06-15'").strip() + """
+       select HotelID, stay_date, cast(count(*) as bigint) as n from kept where HotelID in ('0', '2') group by 1, 2""",
+)
+def j07_plan(v):
+    """The plan itself takes raw exclusions (other pipelines' ranges among them) and the hotels asked for."""
+    asked = v.hotel_config.where(F.col("HotelID").isin("0", "2")).select("HotelID")
+    stays = training.training_stays(
+        v.bookings, v.transactions, v.booking_status, CONFIG, exclusions=v.exclusions, partition_date=date(2001, 6, 15),
+        with_features=False, requested=asked,
+    )
+    return stays.groupBy(*pace.KEYS).agg(F.count("*").alias("n"))
+
+
 @check(
     "p10_horizon_split",
     "confirmed",

@@ -245,7 +245,7 @@ def g04_aware(v):
        from forecasts group by 1, 2, 3, 4""",
 )
 def g05(v):
-    return v.forecasts.groupBy(*monitor.RUN_KEYS).agg(F.min("booking_date").alias("eval_start_date"))
+    return v.forecasts.groupBy("pms_sync_off", "run_date", "HotelID", "stay_date").agg(F.min("booking_date").alias("eval_start_date"))
 
 
 @check(
@@ -306,7 +306,7 @@ def j07(v):
        from forecasts qualify booking_date > origin_date""",
 )
 def j08(v):
-    return monitor.align(v.forecasts).select(
+    return monitor.align(v.forecasts, "run_date").select(
         "HotelID", "stay_date", F.col("confirmation_date").alias("booking_date"), "day_index", "origin_date"
     )
 

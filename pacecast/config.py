@@ -20,15 +20,35 @@ class RunConfig:
     without_pms: bool = False
     horizon: int = 28
     lead_window: int = 100
-    snapshots: int = 28
+    snapshots: int | None = None  # None: as many as the distances read
     lags: tuple[int, ...] = (1, 7, 14, 28)
     quantiles: tuple[float, ...] = (0.1, 0.5, 0.9)
     pace_features: int | None = None
     recursive: bool = False
+    pipeline: str = "main_training_pipeline"  # whose exclusions hold
 
     def __post_init__(self):
         target_prefix(self.target_type)
         check_quantiles(self.quantiles)
+        if self.snapshots is None:
+            object.__setattr__(self, "snapshots", self.snapshots_read)
+        if self.snapshots < self.snapshots_read:
+            raise ValueError(f"distances up to {max(self.distances)} read {self.snapshots_read} snapshots, not {self.snapshots}")
+        if max(max(self.distances) + 1, self.targets) > self.lead_window:
+            raise ValueError(f"distances and targets cannot reach past the lead window of {self.lead_window}")
+
+    @property
+    def distances(self) -> tuple[int, ...]:
+        return tuple(range(1, self.horizon + 1))
+
+    @property
+    def targets(self) -> int:
+        """Leads of the target curve that the distances ask for."""
+        return self.horizon
+
+    @property
+    def snapshots_read(self) -> int:
+        return self.horizon
 
     @property
     def prefix(self) -> str:
@@ -41,10 +61,21 @@ class FarFieldConfig(RunConfig):
 
     points: tuple[int, ...] = tuple(range(91, 34, -7))
     step: int = 7
-    lead_window: int = 151
-    snapshots: int = 92
+    lead_window: int = 152
     lags: tuple[int, ...] = tuple(range(7, 148, 7))
 
+    @property
+    def distances(self) -> tuple[int, ...]:
+        return tuple(self.points)
+
+    @property
+    def targets(self) -> int:
+        return max(self.points) - self.step + 1
+
+    @property
+    def snapshots_read(self) -> int:
+        return max(self.points) + 1
+
 
 def target_prefix(target_type: str) -> str:
     if target_type not in TARGET_PREFIX:

@@ -83,7 +83,7 @@ def preprocess(
     if model_start is not None:
         df = df.where(F.col("stay_date") >= F.lit(model_start))
     if without_pms:
-        df = df.where(F.col("channel") != PMS_CHANNEL)
+        df = df.where(~F.col("channel").eqNullSafe(PMS_CHANNEL))  # own rule: an unknown channel is not PMS
     if closed_window is not None:
         df = df.where(~F.col("stay_date").between(*map(F.lit, closed_window)))
     return df

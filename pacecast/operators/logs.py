@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # The text that failing hotels write to the log.
 ERROR_TEXT = "Error encountered when processing hotel"
 ERROR_PATTERN = r"Error encountered when processing hotel ([^:]+): (.*)"
+NAMED = 20
 TIME_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})"
 
 
@@ -37,7 +38,9 @@ def error_counts(hits: DataFrame) -> DataFrame:
 
 
 def fail_on_errors(hits: DataFrame) -> None:
-    """Raise if any file holds an error; the message names at most 20 files."""
-    worst = error_counts(hits).orderBy(F.desc("errors"), "file").limit(20).collect()
+    """Raise if any file holds an error. The message counts all files and names the worst NAMED; error_counts lists all."""
+    counts = error_counts(hits)
+    worst = counts.orderBy(F.desc("errors"), "file").limit(NAMED).collect()
     if worst:
-        raise RuntimeError("errors in logs: " + ", ".join(f"{r.file} ({r.errors})" for r in worst))
+        named = ", ".join(f"{r.file} ({r.errors})" for r in worst)
+        raise RuntimeError(f"errors in {counts.count()} log files, the worst: {named}")

@@ -12,37 +12,44 @@ from pacecast.functions.metrics import absolute_error, sape
 from pacecast.operators.clean import daily_net, preprocess
 from pacecast.operators.pace import running_total
 
-RUN_KEYS = ("pms_sync_off", "run_date", "HotelID", "stay_date")
+RUN = "timestamp"  # tells the runs of a forecast table apart
 TRIANGLE_KEYS = ("pms_sync_off", "target_type", "HotelID", "day_ahead_index", "booking_index")
 
 
 def actuals(confirmed: DataFrame, eval_start: date | None, value: str) -> DataFrame:
-    """What was on the books at every confirmation date, with and without the PMS channel.
+    """What was on the books at every confirmation date, with and without the PMS channel."""
+    return actuals_by_target(confirmed, eval_start, {value: value}).drop("target_type")
 
-    Both flags come from one scan, one sum and one window; rows are doubled only at the end.
+
+def actuals_by_target(confirmed: DataFrame, eval_start: date | None, values: dict[str, str]) -> DataFrame:
+    """Actuals of several targets (name: column), with and without the PMS channel.
+
+    All targets and flags come from one scan, one sum and one window; rows are multiplied only at the end.
     """
-    direct = F.col("channel") != PMS_CHANNEL
+    direct = ~F.col("channel").eqNullSafe(PMS_CHANNEL)
+    sums = [F.sum(c).alias(f"all_{c}") for c in values.values()]
+    sums += [F.sum(F.when(direct, F.col(c))).alias(f"direct_{c}") for c in values.values()]
     daily = (
         preprocess(confirmed, eval_start)
         .groupBy("HotelID", "stay_date", "confirmation_date")
-        .agg(
-            F.sum(value).alias("all"),
-            F.sum(F.when(direct, F.col(value))).alias("direct"),
-            F.count(F.when(direct, F.lit(1))).alias("n_direct"),
-        )
+        .agg(*sums, F.count(F.when(direct, F.lit(1))).alias("n_direct"))
     )
     booked = (
         Window.partitionBy("HotelID", "stay_date")
         .orderBy("confirmation_date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    both = daily.withColumns({"all": F.sum("all").over(booked), "direct": F.sum("direct").over(booked)})
+    names = [f"{kind}_{c}" for kind in ("all", "direct") for c in values.values()]
+    both = daily.withColumns({n: F.sum(n).over(booked) for n in names})
 
-    def flag(off: bool, column: str):
-        return F.struct(F.lit(off).alias("pms_sync_off"), F.col(column).alias("y_true"))
+    def flags(off: bool, kind: str):
+        return [
+            F.struct(F.lit(t).alias("target_type"), F.lit(off).alias("pms_sync_off"), F.col(f"{kind}_{c}").alias("y_true"))
+            for t, c in values.items()
+        ]
 
-    pair = F.array(flag(False, "all"), flag(True, "direct"))
-    kept = F.when(F.col("n_direct") > 0, pair).otherwise(F.array(flag(False, "all")))
+    every, alone = flags(False, "all"), flags(True, "direct")
+    kept = F.when(F.col("n_direct") > 0, F.array(*every, *alone)).otherwise(F.array(*every))
     return both.select(
         "HotelID",
         "stay_date",
@@ -64,9 +71,10 @@ def union_targets(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def align(forecasts: DataFrame, run_keys=RUN_KEYS) -> DataFrame:
+def align(forecasts: DataFrame, run: str = RUN) -> DataFrame:
     """Forecasts after their origin, the first booking date of their run. A run's path is short, so its window is."""
-    origin = F.min("booking_date").over(Window.partitionBy(*run_keys))
+    path = [c for c in ("pms_sync_off", run, "HotelID", "stay_date", "target_type") if c in forecasts.columns]
+    origin = F.min("booking_date").over(Window.partitionBy(*path))
     return (
         forecasts.withColumn("origin_date", origin)
         .where(F.col("booking_date") > F.col("origin_date"))
@@ -82,6 +90,7 @@ def align(forecasts: DataFrame, run_keys=RUN_KEYS) -> DataFrame:
 
 def join_actuals(aligned: DataFrame, actual: DataFrame) -> DataFrame:
     keys = ["HotelID", "stay_date", "confirmation_date", "pms_sync_off"]
+    keys += ["target_type"] if "target_type" in aligned.columns else []
     return aligned.join(actual.select(*keys, "y_true"), keys, "left")
 
 
@@ -89,9 +98,15 @@ def known_actuals(df: DataFrame) -> DataFrame:
     return df.where(F.col("y_true").isNotNull() & (F.col("y_true") != 0))
 
 
-def score(forecasts: DataFrame, actual: DataFrame, target_type: str, run_keys=RUN_KEYS) -> DataFrame:
-    """Error rows of one target type; the run's own time column is kept."""
-    joined = known_actuals(join_actuals(align(forecasts, run_keys), actual))
+def score(forecasts: DataFrame, actual: DataFrame, target_type: str, run: str = RUN) -> DataFrame:
+    """Error rows of one target type; the run's own column is kept."""
+    tagged = (df.withColumn("target_type", F.lit(target_type)) for df in (forecasts, actual))
+    return score_targets(*tagged, run)
+
+
+def score_targets(forecasts: DataFrame, actual: DataFrame, run: str = RUN) -> DataFrame:
+    """Error rows of forecasts and actuals that carry their target type."""
+    joined = known_actuals(join_actuals(align(forecasts, run), actual))
     return joined.select(
         "HotelID",
         "stay_date",
@@ -101,9 +116,9 @@ def score(forecasts: DataFrame, actual: DataFrame, target_type: str, run_keys=RU
         "y_pred",
         "y_true",
         "pms_sync_off",
-        run_keys[1],
+        run,
         sape(F.col("y_true"), F.col("y_pred")).alias("SAPE"),
-        F.lit(target_type).alias("target_type"),
+        "target_type",
     )
 
 

@@ -17,12 +17,19 @@ def _shift(median: Column, first: Column) -> Column:
     return F.greatest(median, first) - F.abs(median)
 
 
-def _capped(value: Column, rooms: Column) -> Column:
-    missing = F.raise_error(F.lit("available_rooms must be provided")).cast("double")
+# Fixed value: what readers of the results look for.
+NO_ROOMS = "available_rooms must be provided"
+
+
+def _capped(value: Column, rooms: Column, strict: bool) -> Column:
+    """Null where the rooms are unknown: such a path fails alone, or (strict) ends the job."""
+    missing = F.lit(None).cast("double")
+    if strict:
+        missing = F.raise_error(F.lit(NO_ROOMS)).cast("double")
     return F.when(rooms.isNull(), missing).when(value > rooms, rooms.cast("double")).otherwise(value)
 
 
-def repair_arrays(df: DataFrame, capacity: str | None = None) -> DataFrame:
+def repair_arrays(df: DataFrame, capacity: str | None = None, strict: bool = False) -> DataFrame:
     """Add y_med, y_upper, y_lower next to the untouched *_raw paths."""
     filled = df.withColumn("_fill", A.fill_linear(F.col("y_med_raw")))
     first = F.get("_fill", F.lit(0))
@@ -37,7 +44,7 @@ def repair_arrays(df: DataFrame, capacity: str | None = None) -> DataFrame:
     if capacity is not None:
         out = out.withColumns(
             {
-                c: F.transform(c, lambda v: _capped(v, F.col(capacity)))
+                c: F.transform(c, lambda v: _capped(v, F.col(capacity), strict))
                 for c in ("y_med", "y_upper", "y_lower")
             }
         )
@@ -75,6 +82,6 @@ def repair_rows(df: DataFrame, path, order: str = "day_index") -> DataFrame:
     ).drop("_top", "_first")
 
 
-def cap_rows(df: DataFrame, rooms: str = "available_rooms") -> DataFrame:
-    """No forecast above the hotel's rooms; a hotel without a room count is an error."""
-    return df.withColumns({c: _capped(F.col(c), F.col(rooms)) for c in ("y_med", "y_upper", "y_lower")})
+def cap_rows(df: DataFrame, rooms: str = "available_rooms", strict: bool = True) -> DataFrame:
+    """No forecast above the hotel's rooms; a hotel without a room count is an error, or (not strict) reads null."""
+    return df.withColumns({c: _capped(F.col(c), F.col(rooms), strict) for c in ("y_med", "y_upper", "y_lower")})

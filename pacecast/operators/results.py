@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacecast.config import SENTINEL_DATE
+from pacecast.operators.repair import NO_ROOMS
 from pacecast.operators.versions import model_name
 from pacecast.schema import FORECAST
 
@@ -30,6 +31,38 @@ def _with_origin(df: DataFrame) -> DataFrame:
     return df.withColumns({"target_leads": F.concat(F.array("day_ahead"), F.col("target_leads")), **known})
 
 
+# What readers of the results look for.
+DONE, FAILED, DONE_TEXT = "complete", "incomplete", "Successfully processed "
+NO_CURRENCY = "forecast currency is missing for a revenue forecast"
+NO_PATH = "no point of the path could be predicted"
+
+
+def path_failure(df: DataFrame, target_type: str) -> Column:
+    """Why a path cannot be published, or null. A failing path never fails the others."""
+    why = F.when(~F.coalesce(F.exists("y_med_raw", lambda y: y.isNotNull()), F.lit(False)), NO_PATH)
+    if target_type == "REVENUE":
+        return F.when(F.col("forecast_currency").isNull(), NO_CURRENCY).otherwise(why)
+    if target_type == "ROOMS" and "available_rooms" in df.columns:
+        return F.when(F.col("available_rooms").isNull(), NO_ROOMS).otherwise(why)
+    return why
+
+
+def _sentinel(run_id: str, pms_sync_off: bool) -> dict[str, Column]:
+    """The columns of a failure row, but for its hotel, currency and message."""
+    return {
+        "run_id": F.lit(run_id),
+        "stay_date": F.lit(SENTINEL_DATE),
+        "booking_date": F.lit(SENTINEL_DATE),
+        "model_version": F.lit(0),
+        "timestamp": F.lit(datetime(1900, 1, 1)),
+        "pms_sync_off": F.lit(pms_sync_off),
+        "day_index": F.lit(0),
+        "model_name": F.lit(""),
+        "status": F.lit(FAILED),
+        **{p: F.lit(0.0) for p in PATHS},
+    }
+
+
 def forecast_rows(
     repaired: DataFrame,
     target_type: str,
@@ -38,14 +71,22 @@ def forecast_rows(
     model_type: str = "pickup",
     model_version: int = 1,
     pms_sync_off: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
-    """Repaired paths to the published 18 columns. Needs `forecast_currency` on the rows; revenue without a
-    currency is an error."""
-    currency = F.col("forecast_currency")
-    if target_type == "REVENUE":
-        missing = F.raise_error(F.lit("forecast currency is missing for a revenue forecast")).cast("string")
-        currency = F.when(currency.isNull(), missing).otherwise(currency)
-    long = explode_path(_with_origin(repaired), *PATHS, keep=("HotelID", "stay_date", "day_ahead", "forecast_currency"))
+    """Repaired paths to the published 18 columns. Needs `forecast_currency` on the rows.
+
+    A path that cannot be published (path_failure) becomes one sentinel row with its reason; `one_failure_each`
+    leaves one such row a hotel and reason. With `strict` the first such path ends the job instead.
+    """
+    why = path_failure(repaired, target_type)
+    if strict:
+        why = F.when(why.isNotNull(), F.raise_error(why).cast("string"))
+    marked = _with_origin(repaired.withColumn("_why", why))
+    failed_path = F.col("_why").isNotNull()
+    short = {c: F.when(failed_path, F.slice(c, 1, 1)).otherwise(F.col(c)) for c in ("target_leads", *PATHS)}
+    long = explode_path(
+        marked.withColumns(short), *PATHS, keep=("HotelID", "stay_date", "day_ahead", "forecast_currency", "_why")
+    )
     named = long.withColumns(
         {
             "run_id": F.lit(run_id),
@@ -53,14 +94,20 @@ def forecast_rows(
             "model_version": F.lit(model_version),
             "timestamp": F.lit(timestamp),
             "pms_sync_off": F.lit(pms_sync_off),
-            "forecast_currency": currency,
             "day_index": F.col("booking_index"),
             "model_name": model_name(target_type, model_type, pms_sync_off),
-            "status": F.lit("complete"),
-            "message": F.concat(F.lit("Successfully processed "), F.col("HotelID")),
+            "status": F.lit(DONE),
+            "message": F.concat(F.lit(DONE_TEXT), F.col("HotelID")),
         }
     )
-    return named.select(*FORECAST.fieldNames())
+    fixed = {c: F.when(failed_path, v).otherwise(F.col(c)) for c, v in _sentinel(run_id, pms_sync_off).items()}
+    fixed["message"] = F.coalesce("_why", "message")
+    return named.withColumns(fixed).select(*FORECAST.fieldNames())
+
+
+def one_failure_each(rows: DataFrame) -> DataFrame:
+    """Forecast rows with one failure row a hotel and reason. Reads `rows` twice: stage them first."""
+    return rows.where(F.col("status") == DONE).unionByName(rows.where(F.col("status") != DONE).distinct())
 
 
 def failure_rows(
@@ -69,20 +116,7 @@ def failure_rows(
     """One sentinel row for each requested hotel that has no result. `done` is read again: stage it first."""
     lost = requested.join(done.select("HotelID").distinct(), "HotelID", "left_anti")
     currency = F.col("forecast_currency") if "forecast_currency" in requested.columns else F.lit(None).cast("string")
-    fixed = {
-        "run_id": F.lit(run_id),
-        "stay_date": F.lit(SENTINEL_DATE),
-        "booking_date": F.lit(SENTINEL_DATE),
-        "model_version": F.lit(0),
-        "timestamp": F.lit(datetime(1900, 1, 1)),
-        "pms_sync_off": F.lit(pms_sync_off),
-        "forecast_currency": currency,
-        "day_index": F.lit(0),
-        "model_name": F.lit(""),
-        "status": F.lit("incomplete"),
-        "message": F.lit(message),
-        **{p: F.lit(0.0) for p in PATHS},
-    }
+    fixed = {**_sentinel(run_id, pms_sync_off), "forecast_currency": currency, "message": F.lit(message)}
     return lost.withColumns(fixed).select(*FORECAST.fieldNames())
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacecast.config import FarFieldConfig
-from pacecast.operators import features, pace, predict, results
+from pacecast.operators import features, predict, results
 from pacecast.plans import training
 
 
@@ -21,9 +23,11 @@ def holdout_points(stays: DataFrame, config: FarFieldConfig) -> DataFrame:
 def evaluate(stays: DataFrame, config: FarFieldConfig, method: str = "pickup") -> DataFrame:
     """Train on stays before the test part, predict each point's stay; absent stays read zeros."""
     split = features.horizon_split(stays, max(config.points))
-    train, test = (split.where(c).drop("test_start", "test_end", "is_test") for c in ("not is_test", "is_test"))
-    params = training.train(train, config, method)
+    train, test = (split.where(c).drop("test_end", "is_test") for c in ("not is_test", "is_test"))
+    params = training.train(train.drop("test_start"), config, method)
     wanted = holdout_points(stays, config)
-    rows = training.model_rows(test, config).join(wanted, [*pace.KEYS, "day_ahead"], "left_semi")
+    # each test stay is the one that at most one point is checked on
+    own = F.filter(F.lit(list(config.points)), lambda p: F.date_add("test_start", p) == F.col("stay_date"))
+    rows = training.model_rows(test, replace(config, lags=()) if method == "pickup" else config, own)
     forecast = predict.pickup_predict if method == "pickup" else predict.linear_predict
     return results.far_field_results(wanted, forecast(rows, params, config.quantiles))

@@ -13,6 +13,7 @@ from pacecast.functions.metrics import target_column
 from pacecast.operators import clean, features, pace, predict, repair, results
 from pacecast.sources import sinks
 
+# Fixed value: what readers of the results look for.
 NO_DATA = "The input data is empty and cannot proceed with prediction"
 SETTINGS = ("lead_window", "inference_length", "available_rooms", "forecast_currency")
 
@@ -33,6 +34,9 @@ def inference_matrix(
     value = target_column(config.target_type)
     first = start if isinstance(start, Column) else F.lit(start)
     longest = hotels.agg(F.max("inference_length")).scalar()
+    widest = hotels.agg(F.max("lead_window")).first()[0]
+    if widest is not None and widest > config.lead_window:
+        raise ValueError(f"a hotel's lead window of {widest} passes the configured {config.lead_window}")
     open_stays = clean.test_window(confirmed, first, F.date_add(first, longest))
     matrix = pace.pace(open_stays, value, config.lead_window)
     matrix = clean.attach_config(features.days_ahead(matrix, first), hotels, *SETTINGS)
@@ -66,10 +70,12 @@ def forecast(
     timestamp: datetime,
     method: str = "pickup",
     model_version: int = 1,
+    strict: bool = False,
 ) -> DataFrame:
+    """Published rows; a path that cannot be published is a failure row, or (strict) ends the job."""
     paths = repaired_paths(matrix, params, config, method)
     return results.forecast_rows(
-        paths, config.target_type, run_id, timestamp, method, model_version, config.without_pms
+        paths, config.target_type, run_id, timestamp, method, model_version, config.without_pms, strict
     )
 
 
@@ -77,7 +83,7 @@ def publish(
     forecasts: DataFrame, requested: DataFrame, config: RunConfig, run_id: str, target: str, staging: str | None = None
 ) -> DataFrame:
     """Stage the forecasts, add failure rows, append the complete ones; returns the staged rows with failures."""
-    staged = sinks.stage(forecasts, staging)
+    staged = results.one_failure_each(sinks.stage(forecasts, staging))
     everything = staged.unionByName(results.failure_rows(requested, staged, run_id, NO_DATA, config.without_pms))
     sinks.append(results.completed(everything, config.target_type), target)
     return everything

@@ -13,6 +13,7 @@ from pacecast.functions import arrays as A
 from pacecast.functions.metrics import target_column
 from pacecast.operators import clean, exclude, features, fit, pace
 from pacecast.sources import sinks
+from pacecast.sources.tables import exclusion_scan
 
 
 def _dated(bookings: DataFrame, transactions: DataFrame | None, config: RunConfig, no_show: str | None) -> DataFrame:
@@ -46,20 +47,18 @@ def confirmed_bookings(
     return clean.confirmed_only(_dated(bookings, transactions, config, no_show), lookup)
 
 
-def stays_from(aware: DataFrame, config: RunConfig, targets: int | None = None) -> DataFrame:
+def stays_from(aware: DataFrame, config: RunConfig, tasks: int | None = None) -> DataFrame:
     """Cells, targets and final total per hotel and stay, from one scan.
 
     Confirmed-only bookings are exactly the never-cancelled cells, so targets and cancel-aware features share
     their cells instead of scanning twice and joining. Stays without a confirmed booking have no target and go.
     """
-    if (targets or config.horizon) > config.lead_window:
-        raise ValueError("targets cannot reach past the lead window")
-    cells = pace.stay_cells(aware, target_column(config.target_type), config.lead_window, config.snapshots)
+    cells = pace.stay_cells(aware, target_column(config.target_type), config.lead_window, config.snapshots, tasks)
     confirmed = A.confirmed_cells(F.col("cells"))
     return cells.where(F.size(confirmed) > 0).select(
         *pace.KEYS,
         "cells",
-        A.pace_between(confirmed, 0, targets or config.horizon).alias("target"),
+        A.pace_between(confirmed, 0, config.targets).alias("target"),
         A.booked_at(confirmed, 0).alias("total"),
     )
 
@@ -74,16 +73,21 @@ def training_stays(
     exclusions: DataFrame | None = None,
     partition_date: date | Column | None = None,
     with_features: bool = True,
+    requested: DataFrame | list[str] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """One compact row per hotel and stay: cells, targets, lags, calendar, excluded ranges taken out.
 
+    `exclusions` is the table as it is: entries of config.pipeline count, the newest of each hotel. `requested`
+    names the hotels to train; without it all are. `tasks` sets the number of partitions of the main exchange.
+
     Everything joins on (hotel, stay) here; snapshots are exploded later from the compact row. The pickup fit
     reads no lags or calendar: without `with_features` their joins are not made.
     """
     cut = partition_date or config.partition_date or clean.watermark(bookings)
-    targets = min(100, config.lead_window) if isinstance(config, FarFieldConfig) else config.horizon
+    bookings = clean.select_hotels(bookings, requested)
     # lags look back, so the cut may come first: both uses below then share one shuffle of the bookings
-    stays = clean.train_cut(stays_from(aware_bookings(bookings, transactions, lookup, config), config, targets), cut)
+    stays = clean.train_cut(stays_from(aware_bookings(bookings, transactions, lookup, config), config, tasks), cut)
     out = stays
     if config.lags and with_features:
         out = out.join(features.lag_totals(stays.select(*pace.KEYS, "total"), "total", config.lags), list(pace.KEYS), "left")
@@ -92,7 +96,8 @@ def training_stays(
     if hotels is not None and holidays is not None and with_features:
         out = features.with_calendar(out, hotels, holidays)
     if exclusions is not None:
-        out = exclude.drop_excluded(out, exclude.latest_config(exclusions))
+        own = exclusion_scan(exclusions, config.pipeline)
+        out = exclude.drop_excluded(out, exclude.latest_config(own))
     return out
 
 
@@ -106,15 +111,11 @@ def write_matrix(stays: DataFrame, config: RunConfig, target: str) -> None:
     sinks.overwrite(training_matrix(sinks.rebalance(stays, "HotelID"), config), target, spread=False)
 
 
-def _distances(config: RunConfig) -> list[int]:
-    return list(config.points) if isinstance(config, FarFieldConfig) else list(range(1, config.horizon + 1))
-
-
 def model_rows(stays: DataFrame, config: RunConfig, distances: Column | None = None, keep=()) -> DataFrame:
     far = isinstance(config, FarFieldConfig)
     return features.rows_from_cells(
         stays,
-        _distances(config) if distances is None else distances,
+        config.distances if distances is None else distances,
         config.lead_window,
         config.lags,
         config.pace_features,
@@ -133,7 +134,7 @@ def placed_rows(stays: DataFrame, config: RunConfig, parts: int = 4, tasks: int
     """
     copied = stays.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     placed = copied.repartition(tasks or pace.work_tasks(stays.sparkSession), "part", "HotelID")
-    numbered = F.lit(_distances(config))
+    numbered = F.lit(list(config.distances))
     share = F.filter(numbered, lambda _, i: i % parts == F.col("part"))
     return model_rows(placed, config, share, keep=("part",))
 
@@ -158,8 +159,5 @@ def holdout(stays: DataFrame, config: RunConfig) -> tuple[DataFrame, DataFrame]:
 def holdout_model_rows(test: DataFrame, config: RunConfig) -> DataFrame:
     """Test rows at the distance between stay and cut; the cut day itself has no distance and drops out."""
     distance = F.datediff("stay_date", "test_start")
-    picked = features.rows_from_cells(
-        test, range(1, config.horizon + 1), config.lead_window, config.lags, config.pace_features
-    )
-    where = test.select(*pace.KEYS, distance.alias("day_ahead"))
-    return picked.join(where, [*pace.KEYS, "day_ahead"], "left_semi")
+    own = F.when(distance.between(1, config.horizon), F.array(distance)).otherwise(F.array().cast("array<int>"))
+    return model_rows(test, config, own)

@@ -23,9 +23,9 @@ def _save(writer, target: str, path: str | None = None) -> None:
 
 
 def overwrite(df: DataFrame, target: str, partition_by: str | None = "HotelID", spread: bool = True) -> None:
-    """Replace a table or folder, its schema included."""
+    """Replace a table or folder."""
     df = rebalance(df, partition_by) if partition_by and spread else df
-    writer = df.write.mode("overwrite").option("overwriteSchema", "true")
+    writer = df.write.mode("overwrite")
     _save(writer.partitionBy(partition_by) if partition_by else writer, target)
 
 

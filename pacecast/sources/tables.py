@@ -76,12 +76,17 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
+def unknown_hotels(requested: DataFrame, hotels: DataFrame) -> DataFrame:
+    """All requested hotels that the dimension does not know."""
+    return requested.select("HotelID").distinct().join(hotels, "HotelID", "left_anti")
+
+
 def require_hotels(requested: DataFrame, hotels: DataFrame) -> None:
     """Raise for requested hotels that the dimension does not know. Runs one small job on the request list."""
-    unknown = requested.select("HotelID").distinct().join(hotels, "HotelID", "left_anti")
-    bad = [r.HotelID for r in unknown.orderBy("HotelID").limit(20).collect()]
-    if bad:
-        raise ValueError(f"unknown hotel ids: {bad}")
+    unknown = unknown_hotels(requested, hotels)
+    first = [r.HotelID for r in unknown.orderBy("HotelID").limit(20).collect()]
+    if first:
+        raise ValueError(f"{unknown.count()} unknown hotel ids, the first: {first}")
 
 
 def require_rows(df: DataFrame, name: str) -> DataFrame:

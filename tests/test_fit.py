@@ -175,11 +175,49 @@ def test_room_forecasts_are_capped_and_carry_no_currency(hotel):
     assert done.where("day_index > 0").agg(F.max("y_upper")).first()[0] <= 3.0
 
 
-def test_revenue_without_currency_is_an_error(hotel):
+def test_revenue_without_currency_is_an_error_when_strict(hotel):
     matrix, params, _ = plan(hotel)
     bare = matrix.withColumn("forecast_currency", F.lit(None).cast("string"))
     with pytest.raises(PySparkException, match="currency"):
-        inference.forecast(bare, params, CONFIG, "r1", datetime(2020, 3, 1)).collect()
+        inference.forecast(bare, params, CONFIG, "r1", datetime(2020, 3, 1), strict=True).collect()
+
+
+def test_paths_fail_alone_and_say_why(hotel):
+    matrix, params, _ = plan(hotel)
+    some = F.when(F.col("day_ahead") > 2, F.col("forecast_currency"))
+    rows = inference.forecast(matrix.withColumn("forecast_currency", some), params, CONFIG, "r1", datetime(2020, 3, 1))
+    each = results.one_failure_each(rows)
+    lost = results.failed(each).collect()
+    assert [(r.HotelID, r.stay_date, r.message, r.y_med) for r in lost] == [("A", date(1900, 1, 1), results.NO_CURRENCY, 0.0)]
+    good = each.where("status = 'complete'")
+    assert good.count() > 0 and good.where("forecast_currency is null").count() == 0
+    nothing = params.withColumn("offsets", F.array(*[F.lit(None).cast("double")] * 3))
+    lost = results.one_failure_each(inference.forecast(matrix, nothing, CONFIG, "r1", datetime(2020, 3, 1))).collect()
+    assert [(r.status, r.message) for r in lost] == [("incomplete", results.NO_PATH)]
+
+
+def test_rooms_without_a_count_fail_alone(hotel):
+    config = RunConfig(target_type="ROOMS", horizon=4, lead_window=10, lags=())
+    matrix, params, _ = plan(hotel, config)
+    bare = matrix.withColumn("available_rooms", F.lit(None).cast("int"))
+    rows = results.one_failure_each(inference.forecast(bare, params, config, "r1", datetime(2020, 3, 1))).collect()
+    assert [(r.status, r.message) for r in rows] == [("incomplete", "available_rooms must be provided")]
+
+
+def test_lead_windows_past_the_configured_one_are_refused(hotel):
+    args, settings = hotel
+    wide = settings.withColumn("lead_window", F.lit(11))
+    with pytest.raises(ValueError, match="lead window"):
+        inference.inference_matrix(training.confirmed_bookings(*args, CONFIG), CONFIG, wide, START)
+
+
+def test_distances_need_their_snapshots_and_leads():
+    assert RunConfig(horizon=40).snapshots == 40 and FarFieldConfig(points=(119, 35)).targets == 113
+    for bad in (dict(horizon=40, snapshots=28), dict(horizon=100), dict(horizon=28, lead_window=28)):
+        with pytest.raises(ValueError):
+            RunConfig(**bad)
+    with pytest.raises(ValueError):
+        FarFieldConfig(points=(160,))
 
 
 def test_publish_stages_reports_and_appends(spark, hotel, tmp_path):

@@ -16,7 +16,7 @@ def forecasts(spark, paths, run=date(2020, 3, 28)):
     ]
     return spark.createDataFrame(
         rows,
-        "HotelID string, stay_date date, run_date date, booking_date date, pms_sync_off boolean, day_index int, y_med double",
+        "HotelID string, stay_date date, timestamp date, booking_date date, pms_sync_off boolean, day_index int, y_med double",
     )
 
 
@@ -50,7 +50,7 @@ def test_summary_bounds_keep_the_run_column(spark):
     b = D.bookings(spark, [(2, "A", D.STAY, 2, "Confirmed", 30)])
     f = forecasts(spark, [10, 20, 60, 70])
     rows = monitoring.summary({"REVENUE": f, "ROOMS": f}, b, date(2020, 1, 1), date(2020, 4, 1), F.lit(datetime(2020, 4, 2)))
-    assert {"run_date", "scored_at", "eval_start_date", "eval_end_date"} <= set(rows.columns)
+    assert {"timestamp", "scored_at", "eval_start_date", "eval_end_date"} <= set(rows.columns)
     assert sorted(r.target_type for r in rows.collect()) == ["REVENUE", "ROOMS"]
     tri = monitoring.triangle(rows, date(2020, 1, 1), date(2020, 4, 1)).collect()
     assert {r.variable for r in tri} == {"SAPE"} and len(tri) == 2

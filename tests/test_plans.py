@@ -56,7 +56,7 @@ def test_lags_and_targets_share_the_bookings_shuffle(inputs):
 
 
 def test_far_field_evaluation_scans_the_bookings_once(inputs):
-    plan = executed(farfield.evaluate(training.stays_from(aware(inputs), FAR, 100), FAR))
+    plan = executed(farfield.evaluate(training.stays_from(aware(inputs), FAR), FAR))
     assert plan.count("partial_sum(amount") == 1
 
 

@@ -73,7 +73,8 @@ def test_capacity(spark):
     capped = repair.repair_arrays(df.withColumn("rooms", F.lit(10)), "rooms").first()
     assert (capped.y_med, capped.y_upper, capped.y_lower) == ([5.0, 10.0], [10.0, 10.0], [1.0, 10.0])
     with pytest.raises(PySparkException, match="available_rooms"):
-        repair.repair_arrays(df.withColumn("rooms", F.lit(None).cast("int")), "rooms").collect()
+        repair.repair_arrays(df.withColumn("rooms", F.lit(None).cast("int")), "rooms", strict=True).collect()
+    assert set(repair.repair_arrays(df.withColumn("rooms", F.lit(None).cast("int")), "rooms").first().y_med) == {None}
 
 
 def test_fill_rows_copies_ends(spark):
