@@ -9,8 +9,8 @@ class's counts are scaled to the smaller one's total, so that DISCOUNT means the
 
 A text's score compares the two log-likelihoods expression by expression, relative to the text's median (which takes
 out what only its language or subject does); differences within MARGIN nats count as none. The excess, normalised by
-the number of expressions and by its root, goes through a logistic fit on a fold of labelled rows that the counts have
-not seen. All labelled training rows are counted; words of fewer than LEAST texts are one shared rare word. What tasks
+the number of expressions and by its root, and that of the two most telling ones go through a logistic fit on a fold of
+labelled rows that the counts have not seen. All labelled training rows are counted; words of fewer than LEAST texts are one shared rare word. What tasks
 get is bounded: MOST_WORDS words, the most frequent ones, and MOST_PAIRS pairs of the most frequent and most telling.
 
 Null and empty texts have no expressions and get the score of no evidence. Labels that are null are left out; a
@@ -135,13 +135,14 @@ class KneserNey:
                 out[w] += change / times[w]
         return np.fromiter(out.values(), np.float64, len(out))
 
-    def evidence(self, text: str, margin: float = MARGIN) -> tuple[float, float]:
-        """The toxic excess over the text's median, by expression and by root of their number."""
+    def evidence(self, text: str, margin: float = MARGIN) -> tuple[float, float, float]:
+        """The toxic excess over the text's median: by expression, by root of their number, of the two most telling."""
         d = self.differences(words(text))
         if not len(d):
-            return 0.0, 0.0
-        excess = np.maximum(d - np.median(d) - margin, 0).sum()
-        return excess / len(d), excess / np.sqrt(len(d))
+            return 0.0, 0.0, 0.0
+        excess = np.maximum(d - np.median(d) - margin, 0)
+        total = excess.sum()
+        return total / len(d), min(total / np.sqrt(len(d)), 20.0), np.sort(excess)[-2:].sum() / 2
 
 
 class ToxicityModel:
@@ -198,25 +199,23 @@ def train(docs: DataFrame, labels: DataFrame, trainable: Column) -> ToxicityMode
 
     def weigh(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shipped.value.evidence(t or "") for t in batch.column("text").to_pylist()]
-        a, b = zip(*found)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), batch.column("toxic")], names=["a", "b", "toxic"])
+        columns = [pa.array(c) for c in zip(*found)]
+        return pa.RecordBatch.from_arrays([*columns, batch.column("toxic")], names=["a", "b", "c", "toxic"])
 
-    held = map_texts(rows.where("calibrates").select("text", "toxic"), "a double, b double, toxic int", weigh)
-    # Evidence is rounded and counted, so the fit sees every row of the fold through a bounded table.
-    cell = held.groupBy(F.round("a", 3).alias("a"), F.round("b", 2).alias("b"), "toxic").agg(F.count(F.lit(1)).alias("n"))
-    cells = cell.collect()
-    x = np.array([(r["a"], r["b"]) for r in cells], np.float64).reshape(-1, 2)
-    y = np.array([r["toxic"] for r in cells], np.float64)
-    n = np.array([r["n"] for r in cells], np.float64)
-    return ToxicityModel(models, fit_weighted(x, y, n))
+    held = map_texts(rows.where("calibrates").select("text", "toxic"), "a double, b double, c double, toxic int", weigh)
+    # Evidence is rounded and counted, so the fit sees every row of the fold through a table that its grid bounds.
+    grid = [F.round(c, digits).alias(c) for c, digits in (("a", 2), ("b", 1), ("c", 1))]
+    cells = held.groupBy(*grid, "toxic").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pydict()
+    x = np.array([cells["a"], cells["b"], cells["c"]], np.float64).T.reshape(-1, 3)
+    return ToxicityModel(models, fit_weighted(x, np.array(cells["toxic"], np.float64), np.array(cells["n"], np.float64)))
 
 
 def fit_weighted(x: np.ndarray, y: np.ndarray, n: np.ndarray, penalty: float = PENALTY):
     """(weights with the constant last, means, deviations): a penalised logistic fit by Newton steps, of rows that stand
     for n rows each. The penalty keeps it finite when only one class, or no row, is there."""
     total = max(n.sum(), 1.0)
-    mean = (x * n[:, None]).sum(0) / total if len(x) else np.zeros(2)
-    deviation = np.sqrt(((x - mean) ** 2 * n[:, None]).sum(0) / total) + 1e-9 if len(x) else np.ones(2)
+    mean = (x * n[:, None]).sum(0) / total if len(x) else np.zeros(x.shape[1])
+    deviation = np.sqrt(((x - mean) ** 2 * n[:, None]).sum(0) / total) + 1e-9 if len(x) else np.ones(x.shape[1])
     a = np.c_[(x - mean) / deviation, np.ones(len(x))]
     weights, ridge = np.zeros(a.shape[1]), np.full(a.shape[1], penalty)
     for _ in range(100):

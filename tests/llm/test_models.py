@@ -207,7 +207,7 @@ def test_kneser_ney_shares_its_backoff():
     for c in (0, 1):  # both are distributions
         assert model.unigram[:, c].sum() == pytest.approx(1.0)
     assert model.ratio["bad"] > 2 > abs(model.ratio["odd"])
-    assert toxicity.KneserNey({}, np.zeros(2), {}, {}).evidence("any text") == (0.0, 0.0)
+    assert toxicity.KneserNey({}, np.zeros(2), {}, {}).evidence("any text") == (0.0, 0.0, 0.0)
 
 
 def test_toxicity(docs, doc_rows, labels, no_labels, none):
