@@ -537,6 +537,38 @@ def v01(v):
     return newest.join(tagged, "model_name", "left")
 
 
+@check(
+    "v01_versioned_forecast",
+    "confirmed hotel_config exclusions aware",
+    FORECAST_SQL + """,
+       used as (select HotelID, case HotelID when '3' then 1 else 2 end as version from hotel_config where HotelID <> '4')
+       select HotelID, stay_date, cast(day_index as int) as day_index, version as model_version, 'complete' as status,
+         'Successfully processed ' || HotelID as message, round(base + (med - base) + 100 * (version - 1), 6) + 0.0 as y_med_raw
+       from paths join used using (HotelID)
+       union all select distinct HotelID, stay_date, 0, version, 'complete', 'Successfully processed ' || HotelID,
+         round(base, 6) + 0.0 from paths join used using (HotelID)
+       union all select '4', date '1900-01-01', 0, 0, 'incomplete', 'no model version for the stage', 0.0""",
+)
+def v01_forecast(v):
+    """Two versions of every hotel's model; a tag picks each hotel's, and a hotel without one fails alone."""
+    first = params_at_origin(v)
+    second = first.withColumn("offsets", F.transform("offsets", lambda x: x + 100))
+    both = versions.named(first, 1, "REVENUE", "pickup").unionByName(versions.named(second, 2, "REVENUE", "pickup"))
+    newest = F.when(F.col("HotelID") == "3", 1).when(F.col("HotelID") != "4", 2)
+    listed = v.hotel_config.select(
+        versions.model_name("REVENUE", "pickup").alias("model_name"), F.explode(F.array(F.lit(1), F.lit(2))).alias("version"),
+        newest.alias("_newest"),
+    ).withColumn("stage_prod", F.when(F.col("version") <= F.col("_newest"), "yes").otherwise("no"))
+    picked = versions.pick(both, listed, "prod")
+    table = inference.forecast(matrix_at_origin(v), picked, CONFIG, "run1", datetime(2001, 6, 15))
+    hotels = v.hotel_config.select("HotelID", "forecast_currency").join(params_at_origin(v), "HotelID", "left_semi")
+    lost = results.failure_rows(versions.unpicked(hotels, picked), picked, "run1", inference.NO_VERSION)
+    rows = table.unionByName(lost)
+    return rounded(
+        rows.select("HotelID", "stay_date", "day_index", "model_version", "status", "message", "y_med_raw"), "y_med_raw"
+    )
+
+
 @check(
     "v02_promote_stage",
     "model_versions",

@@ -385,6 +385,41 @@ def p10(v):
     return rounded(features.horizon_split(stays, 28), "revenue")
 
 
+@check(
+    "p10_per_hotel_length",
+    "confirmed hotel_config",
+    """with s as (select HotelID, stay_date, sum(revenue) as revenue from confirmed group by 1, 2),
+       m as (select s.*, max(stay_date) over (partition by s.HotelID) as last,
+               case when HotelID <> '3' then cast(inference_length as int) else 28 end as days from s left join hotel_config using (HotelID))
+       select HotelID, stay_date, last - days as test_start, last as test_end, stay_date >= last - days as is_test,
+              round(revenue, 6) + 0.0 as revenue from m""",
+)
+def p10_lengths(v):
+    """Hotels with a training length of their own, and one without."""
+    stays = confirmed(v).groupBy(*pace.KEYS).agg(F.sum("revenue").alias("revenue"))
+    own = v.hotel_config.where("HotelID <> '3'").withColumnRenamed("inference_length", "training_length")
+    return rounded(features.horizon_split(stays, 28, own), "revenue")
+
+
+@check(
+    "p08_plain_rows",
+    "confirmed",
+    """with b as (select HotelID, stay_date, d, sum(case when lead >= d then revenue else 0 end) as base,
+               sum(case when lead >= d - 1 then revenue else 0 end) as tgt_first
+             from confirmed cross join (select unnest(generate_series(1, 28)) as d) k group by 1, 2, 3)
+       select HotelID, stay_date, cast(d as int) as day_ahead, round(base, 6) + 0.0 as base,
+         round(tgt_first, 6) + 0.0 as tgt_first from b where stay_date <= date '2001-06-15'""",
+)
+def p08_plain(v):
+    """Training without cancellations: every distance reads the plain pace."""
+    config = RunConfig(cancel_aware=False, lags=())
+    stays = training.training_stays(
+        v.bookings, v.transactions, v.booking_status, config, partition_date=date(2001, 6, 15), with_features=False
+    )
+    rows = training.model_rows(stays, config)
+    return rows.select(*pace.KEYS, "day_ahead", r6("base").alias("base"), r6(F.get("y", F.lit(0))).alias("tgt_first"))
+
+
 @check(
     "p11_adr_pace",
     "confirmed",

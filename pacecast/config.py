@@ -25,6 +25,7 @@ class RunConfig:
     quantiles: tuple[float, ...] = (0.1, 0.5, 0.9)
     pace_features: int | None = None
     recursive: bool = False
+    cancel_aware: bool = True  # False: plain pace of confirmed bookings, the same in every snapshot
     pipeline: str = "main_training_pipeline"  # whose exclusions hold
 
     def __post_init__(self):

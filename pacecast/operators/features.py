@@ -175,13 +175,16 @@ def rows_from_cells(
     )
 
 
-def horizon_split(df: DataFrame, horizon: int) -> DataFrame:
+def horizon_split(df: DataFrame, horizon: int, lengths: DataFrame | None = None) -> DataFrame:
     """Mark the last `horizon` days of each hotel as test. The per-hotel maximum is a small aggregate joined
-    back, so no task has to hold a whole hotel."""
+    back, so no task has to hold a whole hotel. `lengths` (HotelID, training_length) gives hotels a number of
+    their own; a hotel it does not name keeps `horizon`."""
     last = df.groupBy("HotelID").agg(F.max("stay_date").alias("test_end"))
-    return df.join(last, "HotelID").withColumns(
-        {
-            "test_start": F.date_sub("test_end", horizon),
-            "is_test": F.col("stay_date") >= F.date_sub("test_end", horizon),
-        }
+    days = F.lit(horizon)
+    if lengths is not None:
+        last = last.join(lengths.select("HotelID", "training_length"), "HotelID", "left")
+        days = F.coalesce(F.col("training_length").cast("int"), days)
+    last = last.select("HotelID", F.date_sub("test_end", days).alias("test_start"), "test_end")
+    return df.join(last, "HotelID").select(
+        *df.columns, "test_start", "test_end", (F.col("stay_date") >= F.col("test_start")).alias("is_test")
     )

@@ -69,11 +69,12 @@ def forecast_rows(
     run_id: str,
     timestamp: datetime,
     model_type: str = "pickup",
-    model_version: int = 1,
+    model_version: int | str = 1,
     pms_sync_off: bool = False,
     strict: bool = False,
 ) -> DataFrame:
-    """Repaired paths to the published 18 columns. Needs `forecast_currency` on the rows.
+    """Repaired paths to the published 18 columns. Needs `forecast_currency` on the rows; `model_version` is one
+    number for all, or the column that holds each hotel's.
 
     A path that cannot be published (path_failure) becomes one sentinel row with its reason; `one_failure_each`
     leaves one such row a hotel and reason. With `strict` the first such path ends the job instead.
@@ -84,14 +85,14 @@ def forecast_rows(
     marked = _with_origin(repaired.withColumn("_why", why))
     failed_path = F.col("_why").isNotNull()
     short = {c: F.when(failed_path, F.slice(c, 1, 1)).otherwise(F.col(c)) for c in ("target_leads", *PATHS)}
-    long = explode_path(
-        marked.withColumns(short), *PATHS, keep=("HotelID", "stay_date", "day_ahead", "forecast_currency", "_why")
-    )
+    by_hotel = [model_version] if isinstance(model_version, str) else []
+    keep = ("HotelID", "stay_date", "day_ahead", "forecast_currency", "_why", *by_hotel)
+    long = explode_path(marked.withColumns(short), *PATHS, keep=keep)
     named = long.withColumns(
         {
             "run_id": F.lit(run_id),
             "booking_date": F.date_sub("stay_date", F.col("target_lead")),
-            "model_version": F.lit(model_version),
+            "model_version": F.col(model_version) if by_hotel else F.lit(model_version),
             "timestamp": F.lit(timestamp),
             "pms_sync_off": F.lit(pms_sync_off),
             "day_index": F.col("booking_index"),

@@ -28,6 +28,23 @@ def require_version(wanted: DataFrame, versions: DataFrame, stage: str | None =
     )
 
 
+def named(params: DataFrame, version: int, target_type: str, model_type: str, without_pms: bool = False) -> DataFrame:
+    """A parameter table as one version of its hotels' models; such tables are stacked by union."""
+    return params.withColumns(
+        {"model_name": model_name(target_type, model_type, without_pms), "version": F.lit(version)}
+    )
+
+
+def pick(params: DataFrame, versions: DataFrame, stage: str | None = None) -> DataFrame:
+    """The rows of each model's newest version, or of the newest tagged yes for a stage."""
+    return params.join(latest_version(versions, stage), ["model_name", "version"], "left_semi")
+
+
+def unpicked(requested: DataFrame, picked: DataFrame) -> DataFrame:
+    """Requested hotels whose model has no version to use."""
+    return requested.join(picked.select("HotelID").distinct(), "HotelID", "left_anti")
+
+
 def promote(versions: DataFrame, stage: str) -> DataFrame:
     """Only a model's newest yes keeps the stage; older yes tags turn to no."""
     tag = f"stage_{stage}"

@@ -14,6 +14,7 @@ from pacecast.operators import clean, features, pace, predict, repair, results
 from pacecast.sources import sinks
 
 # Fixed value: what readers of the results look for.
+NO_VERSION = "no model version for the stage"
 NO_DATA = "The input data is empty and cannot proceed with prediction"
 SETTINGS = ("lead_window", "inference_length", "available_rooms", "forecast_currency")
 
@@ -69,11 +70,17 @@ def forecast(
     run_id: str,
     timestamp: datetime,
     method: str = "pickup",
-    model_version: int = 1,
+    model_version: int | str = 1,
     strict: bool = False,
 ) -> DataFrame:
-    """Published rows; a path that cannot be published is a failure row, or (strict) ends the job."""
+    """Published rows; a path that cannot be published is a failure row, or (strict) ends the job.
+
+    Parameters that carry a version (operators.versions.pick) put each hotel's own on its rows.
+    """
     paths = repaired_paths(matrix, params, config, method)
+    if "version" in params.columns:
+        used = params.groupBy("HotelID").agg(F.max("version").alias("version"))
+        paths, model_version = paths.join(used, "HotelID"), "version"
     return results.forecast_rows(
         paths, config.target_type, run_id, timestamp, method, model_version, config.without_pms, strict
     )
@@ -82,8 +89,16 @@ def forecast(
 def publish(
     forecasts: DataFrame, requested: DataFrame, config: RunConfig, run_id: str, target: str, staging: str | None = None
 ) -> DataFrame:
-    """Stage the forecasts, add failure rows, append the complete ones; returns the staged rows with failures."""
+    """Stage the forecasts, add failure rows, append the complete ones; returns the staged rows with failures.
+
+    A repeated call with the same run_id appends only what the target does not hold yet of that run.
+    """
     staged = results.one_failure_each(sinks.stage(forecasts, staging))
     everything = staged.unionByName(results.failure_rows(requested, staged, run_id, NO_DATA, config.without_pms))
-    sinks.append(results.completed(everything, config.target_type), target)
+    done = results.completed(everything, config.target_type)
+    earlier = sinks.existing(done.sparkSession, target)
+    if earlier is not None:
+        path = ["run_id", "HotelID", "stay_date", "day_index"]
+        done = done.join(earlier.where(F.col("run_id") == run_id).select(*path), path, "left_anti")
+    sinks.append(done, target)
     return everything

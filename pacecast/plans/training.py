@@ -87,7 +87,8 @@ def training_stays(
     cut = partition_date or config.partition_date or clean.watermark(bookings)
     bookings = clean.select_hotels(bookings, requested)
     # lags look back, so the cut may come first: both uses below then share one shuffle of the bookings
-    stays = clean.train_cut(stays_from(aware_bookings(bookings, transactions, lookup, config), config, tasks), cut)
+    kept = aware_bookings if config.cancel_aware else confirmed_bookings
+    stays = clean.train_cut(stays_from(kept(bookings, transactions, lookup, config), config, tasks), cut)
     out = stays
     if config.lags and with_features:
         out = out.join(features.lag_totals(stays.select(*pace.KEYS, "total"), "total", config.lags), list(pace.KEYS), "left")
@@ -147,9 +148,10 @@ def train(stays: DataFrame, config: RunConfig, method: str = "pickup") -> DataFr
     return fit.linear_fit(placed_rows(stays, config), config.quantiles, far_step, config.recursive)
 
 
-def holdout(stays: DataFrame, config: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """Split by the last `horizon` days per hotel; a test stay is read at its own distance from the cut."""
-    split = features.horizon_split(stays, config.horizon)
+def holdout(stays: DataFrame, config: RunConfig, lengths: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split by the last `horizon` days per hotel, or its own training length; a test stay is read at its own
+    distance from the cut."""
+    split = features.horizon_split(stays, config.horizon, lengths)
     return (
         split.where(~F.col("is_test")).drop("test_start", "test_end", "is_test"),
         split.where(F.col("is_test")).drop("test_end", "is_test"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -56,8 +57,27 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def existing(spark: SparkSession, target: str) -> DataFrame | None:
+    """The table or folder as it is, or None."""
+    try:
+        return spark.read.parquet(target) if "/" in target else spark.table(target)
+    except AnalysisException as err:
+        if err.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder once nothing reads it any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write once, read back: later steps start from files, and lost executors re-read instead of re-fit."""
+    """Write once, read back: later steps start from files, and lost executors re-read instead of re-fit.
+
+    The caller owns the folder and removes it with `drop_stage`.
+    """
     spark = df.sparkSession
     path = path or f"{staging_root(spark)}/stage-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pacecast.config import FarFieldConfig, RunConfig
 from pacecast.operators import fit, predict, results
+from pacecast.sources import sinks
 from pacecast.plans import farfield, inference, training
 from pacecast.schema import FORECAST
 from tests import data as D
@@ -231,6 +232,13 @@ def test_publish_stages_reports_and_appends(spark, hotel, tmp_path):
     ]
     assert tuple(results.run_summary(everything).first()) == (1, 2)
     assert spark.read.parquet(out).count() == everything.count() - 1
+    again = inference.publish(table, settings, CONFIG, "r1", out, str(tmp_path / "staged again"))
+    assert spark.read.parquet(out).count() == again.count() - 1  # a repeated run adds nothing
+    other = inference.forecast(matrix, params, CONFIG, "r2", datetime(2020, 3, 2))
+    inference.publish(other, settings, CONFIG, "r2", out, str(tmp_path / "staged r2"))
+    assert spark.read.parquet(out).count() == 2 * (everything.count() - 1)
+    sinks.drop_stage(spark, str(tmp_path / "staged"))
+    assert not (tmp_path / "staged").exists()
 
 
 def test_holdout_uses_each_stays_own_distance(hotel):
