@@ -338,6 +338,32 @@ def p09(v):
     )
 
 
+@check(
+    "p09_far_field_lags",
+    "confirmed",
+    """with totals as (select HotelID, stay_date, sum(revenue) as total from confirmed group by 1, 2),
+       points as (select unnest(generate_series(35, 91, 7)) as p), ns as (select unnest(generate_series(7, 147, 7)) as n)
+       select k.HotelID, k.stay_date, cast(p as int) as day_ahead, round(coalesce(sum(t.total), 0), 4) + 0.0 as lag_sum,
+         cast(152 - p + count(*) as int) as n_features
+       from totals k cross join points join ns on n > p
+       left join totals t on t.HotelID = k.HotelID and t.stay_date = k.stay_date - cast(n as int)
+       group by k.HotelID, k.stay_date, p""",
+)
+def p09_lags(v):
+    """Far points see the lags longer than their distance alone."""
+    from pacecast.config import FarFieldConfig
+
+    config = FarFieldConfig()
+    stays = training.stays_from(aware(v), config)
+    lagged = features.lag_totals(stays.select(*pace.KEYS, "total"), "total", config.lags)
+    rows = training.model_rows(stays.join(lagged, list(pace.KEYS), "left"), config)
+    own = F.slice("x", config.lead_window - F.col("day_ahead") + 1, F.size("x"))
+    total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
+    return rows.select(
+        *pace.KEYS, "day_ahead", (F.round(total, 4) + F.lit(0.0)).alias("lag_sum"), F.size("x").alias("n_features")
+    )
+
+
 @check(
     "p08_long_horizon",
     "confirmed aware",
