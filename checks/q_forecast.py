@@ -297,6 +297,23 @@ def m10(v):
     return rounded(backtest_rows(v), "y_pred", "y_true").drop("pms_sync_off", "status")
 
 
+@check(
+    "m10_linear_backtest",
+    "confirmed",
+    "with " + BACKTEST_SQL.strip() + """
+       select HotelID, stay_date, eval_start, eval_end, booking_index, true as predicted,
+         round(y_true, 6) + 0.0 as y_true from bt""",
+)
+def m10_linear(v):
+    """The linear model over the same origins, paths and truths; every point gets a finite prediction."""
+    config = RunConfig(lags=(), pace_features=7)
+    rows = backtest.backtest(confirmed(v), config, FIRST, LAST, STEP, "linear")
+    finite = F.col("y_pred").isNotNull() & ~F.isnan("y_pred") & (F.abs("y_pred") < 1e12)
+    return rounded(
+        rows.select("HotelID", "stay_date", "eval_start", "eval_end", "booking_index", finite.alias("predicted"), "y_true"), "y_true"
+    )
+
+
 SAPE_SQL = "case when abs(y_true) + abs(y_pred) = 0 then 0 else 2 * abs(y_true - y_pred) / (abs(y_true) + abs(y_pred)) end"
 PATH_METRICS_SQL = """
 pm as (select HotelID, stay_date, eval_start, eval_end,

@@ -25,44 +25,43 @@ def origins_of(stay: str, first: date, last: date, step: int, horizon: int):
     return F.transform(numbers, lambda k: F.date_add(F.lit(first), k * step))
 
 
-def sliding_rows(
-    confirmed: DataFrame, config: RunConfig, first: date, last: date, step: int, calendar: DataFrame | None = None
-) -> DataFrame:
+def sliding_rows(confirmed: DataFrame, config: RunConfig, first: date, last: date, step: int) -> DataFrame:
     """Model rows of every origin: what was on the books at the origin, and the truth for the rest of the path."""
     value = target_column(config.target_type)
     ahead = F.col("stay_date").between(F.lit(first + timedelta(days=1)), F.lit(last + timedelta(days=config.horizon)))
     stays = pace.stay_cells(confirmed.where(ahead).drop("cancellation_date"), value, config.lead_window)
-    kept = F.col("cells")
     spread = stays.withColumn("eval_start", F.explode(origins_of("stay_date", first, last, step, config.horizon)))
-    spread = features.days_ahead(spread, F.col("eval_start"))
-    d = F.col("day_ahead")
-    # a stay with nothing booked at the origin was not in the data then
-    known = spread.where(F.exists("cells", lambda c: c["lead"] >= d))
-    return known.select(
-        *pace.KEYS,
-        "eval_start",
-        F.date_add("eval_start", config.horizon).alias("eval_end"),
-        "day_ahead",
-        A.booked_at(kept, d).alias("base"),
-        F.reverse(A.pace_between(kept, 0, d)).alias("y"),
+    spread = spread.withColumns(
+        {"eval_end": F.date_add("eval_start", config.horizon), "_ahead": F.datediff("stay_date", "eval_start")}
     )
+    # a stay with nothing booked at the origin was not in the data then
+    known = spread.where(F.exists("cells", lambda c: c["lead"] >= F.col("_ahead")))
+    return _rows(known, config, F.array("_ahead"), keep=("eval_start", "eval_end"))
 
 
-def fit_before(confirmed: DataFrame, config: RunConfig, first: date) -> DataFrame:
-    """Pickup parameters from stays that were over at the first origin; one model serves all origins."""
+def _rows(stays: DataFrame, config: RunConfig, distances, keep=()) -> DataFrame:
+    """Rows of confirmed-only cells: they carry no cancellation, so every snapshot keeps them all."""
+    stays = stays.withColumn("target", A.pace_between(F.col("cells"), 0, config.horizon))
+    return features.rows_from_cells(stays, distances, config.lead_window, (), config.pace_features, keep=keep)
+
+
+def fit_before(confirmed: DataFrame, config: RunConfig, first: date, method: str = "pickup") -> DataFrame:
+    """Parameters from stays that were over at the first origin; one model serves all origins."""
     value = target_column(config.target_type)
     done = confirmed.where(F.col("stay_date") <= F.lit(first)).drop("cancellation_date")
-    stays = pace.stay_cells(done, value, config.lead_window)
-    stays = stays.withColumn("target", A.pace_between(F.col("cells"), 0, config.horizon))
-    rows = features.rows_from_cells(stays, range(1, config.horizon + 1), config.lead_window)
-    # confirmed-only cells carry no cancellation, so every snapshot keeps them all from index 0 on
-    return fit.pickup_fit(rows, config.quantiles)
+    rows = _rows(pace.stay_cells(done, value, config.lead_window), config, config.distances)
+    if method == "pickup":
+        return fit.pickup_fit(rows, config.quantiles)
+    return fit.linear_fit(rows, config.quantiles, recursive=config.recursive)
 
 
-def backtest(confirmed: DataFrame, config: RunConfig, first: date, last: date, step: int) -> DataFrame:
+def backtest(
+    confirmed: DataFrame, config: RunConfig, first: date, last: date, step: int, method: str = "pickup"
+) -> DataFrame:
     """Long backtest rows: prediction and truth for each point of each path of each origin."""
-    predicted = predict.pickup_predict(
-        sliding_rows(confirmed, config, first, last, step), fit_before(confirmed, config, first), config.quantiles
+    forecast = predict.pickup_predict if method == "pickup" else predict.linear_predict
+    predicted = forecast(
+        sliding_rows(confirmed, config, first, last, step), fit_before(confirmed, config, first, method), config.quantiles
     )
     long = results.explode_path(
         predicted, "y_med_raw", "y", keep=("HotelID", "stay_date", "eval_start", "eval_end")
