@@ -46,7 +46,17 @@ def pickup_fit(
 
 
 def pinball_solve(X: np.ndarray, y: np.ndarray, q: float, steps: int = 25, ridge: float = 1e-4) -> np.ndarray:
-    """Linear quantile regression by iterated weighted least squares; X holds a leading column of ones."""
+    """Coefficients of `pinball_fit`."""
+    return pinball_fit(X, y, q, steps, ridge)[0]
+
+
+def pinball_fit(
+    X: np.ndarray, y: np.ndarray, q: float, steps: int = 25, ridge: float = 1e-4
+) -> tuple[np.ndarray, bool]:
+    """Linear quantile regression by iterated weighted least squares, and whether the steps came to rest.
+
+    X holds a leading column of ones.
+    """
     penalty = ridge * len(y) * np.eye(X.shape[1])
     penalty[0, 0] = 0.0
     spread = y.std() or 1.0
@@ -59,8 +69,8 @@ def pinball_solve(X: np.ndarray, y: np.ndarray, q: float, steps: int = 25, ridge
         moved = np.abs(new - beta).max()
         beta = new
         if moved <= 1e-6 * max(spread, 1.0):
-            break
-    return beta
+            return beta, True
+    return beta, False
 
 
 def _fit_group(pdf: pd.DataFrame, quantiles, far_step: int | None, recursive: bool) -> pd.DataFrame:
@@ -75,15 +85,16 @@ def _fit_group(pdf: pd.DataFrame, quantiles, far_step: int | None, recursive: bo
         mean, scale = seen.mean(axis=0), seen.std(axis=0)
         scale[scale == 0] = 1.0
         Z = np.hstack([np.ones((len(seen), 1)), (seen - mean) / scale])
-        intercepts, coefs, path = [], [], []
+        intercepts, coefs, path, rested = [], [], [], []
         for q in quantiles:
-            beta = pinball_solve(Z, Y[:, pos], q)
+            beta, done = pinball_fit(Z, Y[:, pos], q)
+            rested.append(done)
             slope = beta[1:] / scale
             intercepts.append(float(beta[0] - slope @ mean))
             coefs.append(slope[: X.shape[1]].tolist())
             path.append(slope[X.shape[1]:].tolist())
         lead = d - 1 - pos if far_step is None else d - far_step
-        out.append((hotel, d, lead, intercepts, coefs, path))
+        out.append((hotel, d, lead, intercepts, coefs, path, rested))
     return pd.DataFrame(out, columns=LINEAR_PARAMS.fieldNames())
 
 

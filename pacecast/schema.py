@@ -39,6 +39,7 @@ QUANTILE_PARAMS = _s(
 LINEAR_PARAMS = _s(
     ("HotelID", _str), ("day_ahead", _int), ("target_lead", _int), ("intercepts", T.ArrayType(_dbl)),
     ("coefs", T.ArrayType(T.ArrayType(_dbl))), ("path_coefs", T.ArrayType(T.ArrayType(_dbl))),
+    ("converged", T.ArrayType(_bool)),
 )
 
 

@@ -41,6 +41,13 @@ def test_solver_survives_constant_and_repeated_columns():
     assert np.isfinite(beta).all() and np.allclose(X @ beta, np.arange(30) * 2.0, atol=0.5)
 
 
+def test_solver_says_whether_it_came_to_rest():
+    X = np.column_stack([np.ones(30), np.arange(30.0)])
+    assert fit.pinball_fit(X, 2.0 * np.arange(30), 0.5)[1]
+    noisy = 2.0 * np.arange(30) + np.random.default_rng(0).normal(size=30)
+    assert not fit.pinball_fit(X, noisy, 0.5, steps=1)[1]
+
+
 def sample_rows(n=80, d=3):
     rnd = random.Random(1)
     out = []
