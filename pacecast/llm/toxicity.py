@@ -7,8 +7,8 @@ scored alike by both, and only well-attested ones tell them apart. Counts are do
 expression counts once a text, in training and in scoring): a text that repeats a line says it once. The larger
 class's counts are scaled to the smaller one's total, so that DISCOUNT means the same in both.
 
-A text's score compares the two log-likelihoods expression by expression, relative to the text's median (which takes
-out what only its language or subject does); differences within MARGIN nats count as none. The excess, normalised by
+A text's score compares the two log-likelihoods expression by expression, relative to the models' own baseline (the
+median difference over the words of ordinary training texts, so a text of toxic words alone keeps its evidence); differences within MARGIN nats count as none. The excess, normalised by
 the number of expressions and by its root, and that of the two most telling ones go through a logistic fit on a fold of
 labelled rows that the counts have not seen. All labelled training rows are counted; words of fewer than LEAST texts are one shared rare word. What tasks
 get is bounded: MOST_WORDS words, the most frequent ones, and MOST_PAIRS pairs of the most frequent and most telling.
@@ -106,6 +106,7 @@ class KneserNey:
         self.alone = np.log(self.unigram[:, 1] / self.unigram[:, 0]) if self.known else np.zeros(len(counts))
         self.ratio = dict(zip(unigrams, self.alone.tolist()))
         self.rare_ratio = float(self.alone[-1])
+        self.baseline = self.middle(self.alone, counts[:, 0])
         self.pairs: dict[tuple[str, str], float] = {}
         if self.known:
             for pair, seen in pairs.items():
@@ -118,6 +119,13 @@ class KneserNey:
         p = (left + np.array(kept) * shared / all_pairs) / np.maximum(np.array(total), 1e-9)
         return float(np.log(p[1] / p[0])) if (p > 0).all() else self.ratio.get(w, self.rare_ratio)
 
+    @staticmethod
+    def middle(ratios: np.ndarray, weights: np.ndarray) -> float:
+        """The weighted median."""
+        order = np.argsort(ratios, kind="stable")
+        reached = np.cumsum(weights[order])
+        return float(ratios[order][np.searchsorted(reached, reached[-1] / 2)]) if len(reached) and reached[-1] > 0 else 0.0
+
     def differences(self, ws: list[str]) -> np.ndarray:
         """One difference for each distinct word: the mean over its places, each after its predecessor."""
         if not ws or not self.known:
@@ -136,11 +144,11 @@ class KneserNey:
         return np.fromiter(out.values(), np.float64, len(out))
 
     def evidence(self, text: str, margin: float = MARGIN) -> tuple[float, float, float]:
-        """The toxic excess over the text's median: by expression, by root of their number, of the two most telling."""
+        """The toxic excess over the baseline: by expression, by root of their number, of the two most telling."""
         d = self.differences(words(text))
         if not len(d):
             return 0.0, 0.0, 0.0
-        excess = np.maximum(d - np.median(d) - margin, 0)
+        excess = np.maximum(d - self.baseline - margin, 0)
         total = excess.sum()
         return total / len(d), min(total / np.sqrt(len(d)), 20.0), np.sort(excess)[-2:].sum() / 2
 

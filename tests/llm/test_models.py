@@ -210,6 +210,14 @@ def test_kneser_ney_shares_its_backoff():
     assert toxicity.KneserNey({}, np.zeros(2), {}, {}).evidence("any text") == (0.0, 0.0, 0.0)
 
 
+def test_texts_of_toxic_words_alone_keep_their_evidence():
+    unigrams = {"bad": (0.0, 30.0), "vile": (0.0, 25.0), "day": (300.0, 30.0)}
+    model = toxicity.KneserNey(unigrams, np.array([698.0, 40.0]), {}, {})
+    for text in ("bad", "bad vile", "Bad, vile\nbad, vile"):
+        assert min(model.evidence(text)) > 0.5
+    assert model.evidence("day") == (0.0, 0.0, 0.0)
+
+
 def test_toxicity(docs, doc_rows, labels, no_labels, none):
     model = toxicity.train(docs, labels, F.lit(True))
     got = toxicity.score_texts(docs, model).collect()
