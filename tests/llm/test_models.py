@@ -229,6 +229,21 @@ def test_toxicity(docs, doc_rows, labels, no_labels, none):
     assert kept.columns == docs.columns and kept.where("text is null").count() == 2
 
 
+def test_pairs_tell_whatever_the_rank_of_their_words(spark):
+    names = ["".join("abcdefghij"[int(c)] for c in f"{i:05d}") for i in range(3000)]
+    often, ordinary_alone = names[:1500], names[1500:]
+    texts = []
+    for i in range(200):
+        toxic = i % 2
+        own = ["kick rocks"] if toxic else ["rocks", *ordinary_alone, "kick"]
+        texts.append((i, " ".join([*own, *often]) if i % 4 < 2 else " ".join(often + (own if not toxic else [])), toxic))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in texts], "doc_id long, toxic int")
+    models = toxicity.train(docs, labels, F.lit(True)).models
+    assert min(models.evidence("kick rocks")) > 0
+    assert models.evidence("rocks and kick") == (0.0, 0.0, 0.0)
+
+
 def test_labels_of_held_out_rows_teach_nothing(docs, labels):
     trainable = remainder(3) != 1
     held = toxicity.training_rows(docs, labels, trainable).count()
