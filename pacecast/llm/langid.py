@@ -7,8 +7,8 @@ context is asked with the followers already excluded; below the empty context al
 language whose code for a text is shortest is predicted; the score is its posterior under equal priors.
 
 Counting is a distributed sum over all rows that may be learnt from, in tables of (language, last bytes, count). The
-frozen trees are bounded: followers seen fewer than LEAST times are pruned, and at most MOST_NODES of the longest
-contexts' followers are kept in all, the most frequent first. A position's cost depends on its last ORDER + 1 bytes
+longest contexts' followers that a language shows fewer than LEAST times are pruned from its frozen tree, in all languages
+alike; no language's tree depends on how much text the others have. A position's cost depends on its last ORDER + 1 bytes
 alone, so tasks work out each distinct run of bytes once a batch, in numpy.
 
 Texts are lower-cased first, with ORDER zero bytes before them. Null texts, and texts without a letter, are `und` with
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pacecast.llm.common import map_texts, small_batches, staged, texts_of
 
 ORDER = 3  # bytes of context; with the predicted byte a run fits 32 bits
-LEAST, MOST_NODES = 2, 2_000_000
+LEAST = 2
 WINDOW = 1 << 20
 UNKNOWN = "und"
 
@@ -180,15 +180,14 @@ class ContextTrees:
 
 
 def train(docs: DataFrame, trainable: Column) -> ContextTrees:
-    """Count over all trainable rows, prune, and freeze; the driver holds MOST_NODES followers at most."""
+    """Count over all trainable rows, prune each language by itself, and freeze; the driver holds all that is kept."""
     counts = staged(count_runs(docs, trainable), "byte-runs")
-    kept = counts.where(F.col("n") >= LEAST).orderBy(F.desc("n"), "lang", "run").limit(MOST_NODES)
     languages = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").collect()]
-    found = kept.toArrow().to_pandas()
-    by = {lang: part for lang, part in found.groupby("lang")}
-    empty = np.zeros(0, np.int64)
-    pairs = [(by[c]["run"].to_numpy(), by[c]["n"].to_numpy()) if c in by else (empty, empty) for c in languages]
-    return ContextTrees(languages, pairs)
+    kept = counts.where(F.col("n") >= LEAST)
+    place = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1 if languages else F.lit(0)
+    found = kept.select(place.cast("short").alias("at"), "run", "n").toArrow()
+    at, runs, n = (found.column(c).to_numpy() for c in ("at", "run", "n"))
+    return ContextTrees(languages, [(runs[own], n[own]) for own in (at == j for j in range(len(languages)))])
 
 
 def predict(docs: DataFrame, trees: ContextTrees) -> DataFrame:

@@ -94,6 +94,16 @@ def test_language_held_out(spark):
     assert sum(r["lang_pred"] == r["lang"] for r in rows) / len(rows) > 0.9
 
 
+def test_a_small_language_keeps_its_tree_beside_a_hot_one(spark):
+    noise = "".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyz0123456789 .,;:!?-+*/=()[]{}<>#%&$@_~^|", k=2_600_000))
+    rows = [(i, noise, "hot") for i in range(3)] + [(i, "žluťoučký kůň", "small") for i in (3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trees = langid.train(docs, F.lit(True))
+    best, _, bits = trees.predict(["žluťoučký kůň".encode()])
+    assert len(trees.levels[0]["runs"]) > 2_000_000
+    assert trees.languages[best[0]] == "small" and bits[0] < 4
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
