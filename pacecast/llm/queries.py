@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacecast.llm import decontam, langid, lengths, pii, quality, sharding, simhash, sptok, tokenbin, toxicity
+from pacecast.llm import (
+    decontam, importance, jaccard, langid, lengths, pii, quality, sharding, simhash, sptok, tokenbin, toxicity, variants,
+)
 from pacecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +154,18 @@ def op9_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokenbin.token_files(docs, public_tokenizers.path(BYTE_BPE), END_ID)
+
+
+@query("op11_jaccard_join")
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_importance_resampling")
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
