@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SLICE_BYTES = 1 << 20
+WHITE_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _mine: set[str] = set()
 
 
@@ -96,6 +99,47 @@ def map_texts(
     return df.mapInArrow(run, schema)
 
 
+def slices(text: bytes, most: int = SLICE_BYTES) -> Iterator[bytes]:
+    """The text cut at white space into slices of about `most` bytes, so that a long text needs no long lists."""
+    at = 0
+    while len(text) - at > most:
+        cut = WHITE_SPACE.search(text, at + most)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.end()
+    yield text[at:]
+
+
+class Recent:
+    """A bounded cache of two generations: what is met moves to the young one; when that is full, the old one goes.
+
+    So entries that are met at least once while `most` others are stay, however many pass by.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def turn(self) -> None:
+        """Start a new generation if the young one is full. Between two turns nothing that was met is forgotten."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+
+    def missing(self, keys) -> list:
+        """The keys that are not held; those that are will be in `young`."""
+        young, old, out = self.young, self.old, []
+        for key in keys:
+            if key not in young:
+                found = old.get(key)
+                if found is None:
+                    out.append(key)
+                else:
+                    young[key] = found
+        return out
+
+
 def rows_for(total: int, each: int, least: int = 1, most: int = 100_000) -> int:
     """How many partitions of about `each` rows or bytes `total` makes."""
     return int(min(most, max(least, -(-total // each))))

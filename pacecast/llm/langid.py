@@ -8,7 +8,8 @@ language whose code for a text is shortest is predicted; the score is its poster
 
 Counting is a distributed sum over all rows that may be learnt from, in tables of (language, last bytes, count). The
 longest contexts' followers that a language shows fewer than LEAST times are pruned from its frozen tree, in all languages
-alike; no language's tree depends on how much text the others have. A position's cost depends on its last ORDER + 1 bytes
+alike; shorter contexts keep all their followers, so every language with any text has a tree, and no language's tree
+depends on how much text the others have. A position's cost depends on its last ORDER + 1 bytes
 alone, so tasks work out each distinct run of bytes once a batch, in numpy.
 
 Texts are lower-cased first, with ORDER zero bytes before them. Null texts, and texts without a letter, are `und` with
@@ -78,15 +79,22 @@ def count_runs(docs: DataFrame, trainable: Column) -> DataFrame:
 class ContextTrees:
     """The frozen trees of all languages; costs(runs) gives the code length of each run's last byte by language."""
 
-    def __init__(self, languages: list[str], counts: list[tuple[np.ndarray, np.ndarray]]):
-        """counts: for each language its distinct runs (ORDER + 1 bytes) and how often each occurs."""
+    def __init__(
+        self,
+        languages: list[str],
+        counts: list[tuple[np.ndarray, np.ndarray]],
+        shorter: list[tuple[np.ndarray, np.ndarray]] | None = None,
+    ):
+        """counts: for each language its distinct runs (ORDER + 1 bytes) and how often each occurs; shorter: the same for
+        runs of ORDER bytes, which all shorter contexts are read from (if left out, they are read from `counts` too)."""
         self.languages = languages
         self.levels = []  # from the longest context down to the empty one
-        per_lang = [(r.astype(np.uint64), n.astype(np.float64)) for r, n in counts]
+        plain = lambda tables: [(r.astype(np.uint64), n.astype(np.float64)) for r, n in tables]
+        longest, rest = plain(counts), plain(counts if shorter is None else shorter)
         for order in range(ORDER, -1, -1):
             keep = np.uint64((1 << 8 * (order + 1)) - 1)
             tables = []
-            for runs, n in per_lang:
+            for runs, n in longest if order == ORDER else rest:
                 short, inverse = np.unique(runs & keep, return_inverse=True)
                 tables.append((short, np.bincount(inverse, n, len(short))))
             self.levels.append(self._level(tables))
@@ -180,14 +188,19 @@ class ContextTrees:
 
 
 def train(docs: DataFrame, trainable: Column) -> ContextTrees:
-    """Count over all trainable rows, prune each language by itself, and freeze; the driver holds all that is kept."""
+    """Count over all trainable rows, prune each language's longest contexts, freeze; the driver holds what is kept."""
     counts = staged(count_runs(docs, trainable), "byte-runs")
     languages = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").collect()]
-    kept = counts.where(F.col("n") >= LEAST)
     place = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1 if languages else F.lit(0)
-    found = kept.select(place.cast("short").alias("at"), "run", "n").toArrow()
-    at, runs, n = (found.column(c).to_numpy() for c in ("at", "run", "n"))
-    return ContextTrees(languages, [(runs[own], n[own]) for own in (at == j for j in range(len(languages)))])
+
+    def by_language(rows: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+        found = rows.select(place.cast("short").alias("at"), "run", "n").toArrow()
+        at, runs, n = (found.column(c).to_numpy() for c in ("at", "run", "n"))
+        return [(runs[own], n[own]) for own in (at == j for j in range(len(languages)))]
+
+    short = F.col("run").bitwiseAND(F.lit((1 << 8 * ORDER) - 1))
+    shorter = counts.groupBy("lang", short.alias("run")).agg(F.sum("n").alias("n"))
+    return ContextTrees(languages, by_language(counts.where(F.col("n") >= LEAST)), by_language(shorter))
 
 
 def predict(docs: DataFrame, trees: ContextTrees) -> DataFrame:

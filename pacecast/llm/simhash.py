@@ -15,7 +15,8 @@ tasks as they fill. Only a spanning set of links leaves a task; components are t
 exchange between tables in the shared folder.
 
 Null and empty texts have fingerprint zero and are linked like others. Rows with null doc_id take part; a component
-of such rows alone has a null component_id. Repeated rows share a component. An empty table gives no rows.
+of such rows alone has a null component_id. Repeated rows share a component. An empty table gives no rows. A long text
+is hashed in slices and its bits are summed in blocks, so that it needs little more memory than itself.
 """
 
 from __future__ import annotations
@@ -28,47 +29,51 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacecast.llm.common import map_texts, rows_for, staged, texts_of
+from pacecast.llm.common import map_texts, rows_for, slices, staged, texts_of
 
 SHINGLE, MOST_BITS, SEED = 3, 2, 42
 NODE_ROWS, MOST_NODES = 100_000, 4096
 TASK_VISITORS = 200_000
 GROUP, LEAF = 256, 16
+SLICE_BYTES, BLOCK = 1 << 18, 4096
 NO_ID = (1 << 63) - 1
 UPPER_TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def shingle_hashes(text: bytes, size: int = SHINGLE) -> list[int]:
-    """Hashes of the space-joined shingles, repeats included; fewer words than a shingle: the whole sequence."""
-    parts = text.translate(UPPER_TO_LOWER).split()  # bytes: exactly the ASCII white space
-    if not parts:
-        return []
-    joined = b" ".join(parts)
-    starts, at = [], 0
-    for p in parts:
+def shingle_hashes(text: bytes, size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Hashes of the space-joined shingles, repeats included, block by block; fewer words: the whole sequence."""
+    digest, held, found = xxhash.xxh64_intdigest, [], False
+    for piece in slices(text, SLICE_BYTES):
+        words = held + piece.translate(UPPER_TO_LOWER).split()  # bytes: exactly the ASCII white space
+        if len(words) < size:
+            held = words
+            continue
+        joined, starts, at = b" ".join(words), [], 0
+        for w in words:
+            starts.append(at)
+            at += len(w) + 1
         starts.append(at)
-        at += len(p) + 1
-    starts.append(at)
-    digest = xxhash.xxh64_intdigest
-    if len(parts) <= size:
-        return [digest(joined, SEED)]
-    return [digest(joined[s : e - 1], SEED) for s, e in zip(starts, starts[size:])]
+        hashes = (digest(joined[s : e - 1], SEED) for s, e in zip(starts, starts[size:]))
+        yield np.fromiter(hashes, np.uint64, len(words) - size + 1)
+        held, found = words[len(words) - size + 1 :], True
+    if held and not found:
+        yield np.array([digest(b" ".join(held), SEED)], np.uint64)
+
+
+def fingerprint(text: bytes, size: int = SHINGLE) -> int:
+    """64 bits, unsigned: those that more than half the hashes set. Bits are summed in blocks, whatever the length."""
+    sums, n = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(text, size):
+        for at in range(0, len(hashes), BLOCK):
+            part = hashes[at : at + BLOCK].astype(">u8").view(np.uint8).reshape(-1, 8)
+            sums += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+    return int.from_bytes(np.packbits(2 * sums > n).tobytes(), "big") if n else 0
 
 
 def fingerprints_of(texts: list[bytes], size: int = SHINGLE) -> np.ndarray:
     """Signed 64-bit fingerprints."""
-    hashes = [shingle_hashes(t, size) for t in texts]
-    counts = np.array([len(h) for h in hashes], np.int64)
-    out = np.zeros(len(texts), np.uint64)
-    full = np.flatnonzero(counts)
-    if len(full):
-        flat = np.fromiter((x for h in hashes for x in h), np.uint64, int(counts.sum()))
-        bits = np.unpackbits(flat.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        starts = np.concatenate([[0], np.cumsum(counts[full])[:-1]])
-        sums = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
-        packed = np.packbits(2 * sums > counts[full][:, None], axis=1)
-        out[full] = packed.view(">u8").ravel()
-    return out.view(np.int64)
+    return np.array([fingerprint(t, size) for t in texts], np.uint64).view(np.int64)
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:

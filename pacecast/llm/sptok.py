@@ -25,10 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pacecast.llm.common import map_texts, texts_of
+from pacecast.llm.common import Recent, map_texts, texts_of
 
 SPACE = "▁"
-MOST_UNITS, LONGEST_KEPT = 600_000, 64
+MOST_UNITS, LONGEST_KEPT = 300_000, 64  # units in each of two generations
 
 
 def _replace_each(error):
@@ -77,8 +77,8 @@ class Pieces:
         self.unit = self._unit_pattern()
         self.fits: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
-        self.kept: dict[str, bytes] = {}  # by unit that no piece reaches over
-        self.seen: dict[str, bytes] = {}  # by part between two spaces
+        self.kept = Recent(MOST_UNITS)  # by unit that no piece reaches over
+        self.seen = Recent(MOST_UNITS)  # by part between two spaces
 
     def _unit_pattern(self) -> re.Pattern:
         """Units between which no piece reaches."""
@@ -173,26 +173,21 @@ class Pieces:
         """Ids of a part behind a space: its own units are looked up or encoded."""
         out = b""
         for u in self.unit.findall(SPACE + unit.replace(" ", SPACE)):
-            ids = self.kept.get(u)
-            if ids is None:
-                ids = np.array(self.encode_unit(u), "<i4").tobytes()
-                if len(u) <= LONGEST_KEPT:
-                    self.kept[u] = ids
-            out += ids
+            for new in self.kept.missing((u,)):
+                self.kept.young[new] = np.array(self.encode_unit(new), "<i4").tobytes()
+            out += self.kept.young[u] if len(u) <= LONGEST_KEPT else self.kept.young.pop(u)
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, packed as little-endian int32."""
-        for cache in (self.kept, self.seen):
-            if len(cache) > MOST_UNITS:
-                cache.clear()
+        self.kept.turn()
+        self.seen.turn()
         units = [self._units(t) if t else [] for t in texts]
-        seen, once = self.seen, []
-        for u in set(chain.from_iterable(units)):
-            if u not in seen:
-                seen[u] = self._learn(u)
-                if len(u) > LONGEST_KEPT:
-                    once.append(u)
+        seen, once = self.seen.young, []
+        for u in self.seen.missing(set(chain.from_iterable(units))):
+            seen[u] = self._learn(u)
+            if len(u) > LONGEST_KEPT:
+                once.append(u)
         known, end = seen.__getitem__, np.array([self.end_id], "<i4").tobytes()
         out = [b"".join(map(known, u)) + end for u in units]
         for u in once:

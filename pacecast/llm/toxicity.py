@@ -43,6 +43,7 @@ DISCOUNT, PAIR_DISCOUNT, SHARED_DISCOUNT, MARGIN = 3.0, 3.0, 0.75, 1.5
 RARE = ""
 CALIBRATION_FOLDS = 5  # one of these many folds of the training rows calibrates
 PENALTY = 0.1
+HELD_COUNTS = 250_000  # a task sums up to so many expressions before they move (about 25 MB)
 
 
 def words(text: str) -> list[str]:
@@ -80,7 +81,7 @@ def _counted(rows: DataFrame, key: str, expressions) -> DataFrame:
                 counts = held[toxic]
                 for x in expressions(text or ""):
                     counts[x] = counts.get(x, 0) + 1
-            if len(held[0]) + len(held[1]) > 1_000_000:
+            if len(held[0]) + len(held[1]) > HELD_COUNTS:
                 yield from flush()
         yield from flush()
 
@@ -216,7 +217,7 @@ class Attested:
     def __contains__(self, word: str) -> bool:
         found = self.met.get(word)
         if found is None:
-            if len(self.met) > 200_000:
+            if len(self.met) > 50_000:
                 self.met.clear()
             key = self.key(word)
             at = np.searchsorted(self.keys, key)

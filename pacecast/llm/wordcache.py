@@ -12,6 +12,8 @@ from itertools import chain
 
 import numpy as np
 
+from pacecast.llm.common import Recent
+
 # A cut is safe between characters that no Unicode version counts as white space; leaving a cut out is always safe.
 SAFE_CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 ASCII_SPACE_PAIRS = tuple(p for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f" for p in (c + " ", " " + c))
@@ -21,7 +23,8 @@ RARE_SPACE = re.compile("[^!-~\\w \t\n\r\x0b\x0c]")
 class WordCache:
     """encode(texts) gives each text's ids as packed little-endian integers of `dtype`."""
 
-    MOST_UNITS = 500_000
+    MOST_UNITS = 300_000  # in each of two generations
+    MOST_HEADS = 30_000
     LONGEST_UNIT = 64
     CHUNK = 50_000
 
@@ -35,8 +38,8 @@ class WordCache:
         self.byte_length = np.zeros(size, np.int64)
         for token, at in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.byte_length[at] = len(token)
-        self.after_space: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
+        self.after_space = Recent(self.MOST_UNITS)
+        self.first = Recent(self.MOST_HEADS)
 
     def units(self, text: str) -> list[str]:
         """Parts whose join by one space is the text; the first begins the text, each other follows a space."""
@@ -51,7 +54,7 @@ class WordCache:
 
     def _learn(self, units: list[str]) -> None:
         """Encode units that follow a space: many in one string, the ids cut at the units' byte ends."""
-        at = 0
+        at, known = 0, self.after_space.young
         while at < len(units):
             held, chunk = 0, []
             while at < len(units) and held < self.CHUNK:
@@ -64,34 +67,31 @@ class WordCache:
             unit_ends = np.cumsum([len(u.encode()) + 1 for u in chunk])
             cut = np.searchsorted(ends, unit_ends) + 1
             if not np.array_equal(ends[cut - 1], unit_ends):  # a vocabulary with tokens over spaces
-                self.after_space.update(zip(chunk, self._packed([" " + u for u in chunk])))
+                known.update(zip(chunk, self._packed([" " + u for u in chunk])))
                 continue
             packed, width = ids.tobytes(), self.dtype.itemsize
             starts = [0, *(cut[:-1] * width).tolist()]
-            self.after_space.update(
-                zip(chunk, [packed[s:e] for s, e in zip(starts, (cut * width).tolist())])
-            )
+            known.update(zip(chunk, [packed[s:e] for s, e in zip(starts, (cut * width).tolist())]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.after_space) > self.MOST_UNITS:
-            self.after_space.clear()
-        if len(self.first) > self.MOST_UNITS // 4:
-            self.first.clear()
+        self.after_space.turn()
+        self.first.turn()
         parts = [self.units(t) for t in texts]
         heads = [p.pop(0) for p in parts]
-        unknown = [h for h in dict.fromkeys(heads) if h not in self.first]
-        self.first.update(zip(unknown, self._packed(unknown)))
-        need = [u for u in set(chain.from_iterable(parts)) if u not in self.after_space]
+        unknown = self.first.missing(dict.fromkeys(heads))
+        self.first.young.update(zip(unknown, self._packed(unknown)))
+        need = self.after_space.missing(set(chain.from_iterable(parts)))
         long = [u for u in need if len(u) > self.LONGEST_UNIT]
         self._learn([u for u in need if len(u) <= self.LONGEST_UNIT])
-        self.after_space.update(zip(long, self._packed([" " + u for u in long])))
-        known = self.after_space.__getitem__
-        out = [self.first[h] + b"".join(map(known, p)) for h, p in zip(heads, parts)]
+        known, first = self.after_space.young, self.first.young
+        known.update(zip(long, self._packed([" " + u for u in long])))
+        ids_of = known.__getitem__
+        out = [first[h] + b"".join(map(ids_of, p)) for h, p in zip(heads, parts)]
         for u in long:
-            del self.after_space[u]
+            del known[u]
         for h in unknown:
             if len(h) > self.LONGEST_UNIT:
-                del self.first[h]
+                del first[h]
         return out
 
 
