@@ -12,7 +12,7 @@ from checks.registry import check, off_edge, r6, rounded
 from pacecast.config import FarFieldConfig, RunConfig
 from pacecast.operators import clean, features, monitor, predict, repair, results, versions
 from pacecast.plans import backtest, farfield, inference, monitoring, training
-from pacecast.sources import tables
+from pacecast.sources import sinks, tables
 
 ORIGIN = date(2001, 6, 15)
 PUBLISHED = date(2001, 7, 2)  # early enough for bookings after it
@@ -352,19 +352,19 @@ def g10(v):
 
 # Hold-out: fit on stays before each hotel's last 28 days, predict those days at their own distance.
 HOLDOUT_SQL = """
-ends as (select HotelID, max(stay_date) as last from confirmed group by 1),
+ends as materialized (select HotelID, max(stay_date) as last from confirmed group by 1),
 cells as materialized (select HotelID, stay_date, lead, gone, sum(revenue) as revenue from aware group by 1, 2, 3, 4),
 b as materialized (select HotelID, stay_date, d, sum(case when lead >= d and gone < d - 1 then revenue else 0 end) as base
   from cells cross join (select unnest(generate_series(1, 28)) as d) k group by 1, 2, 3),
 t as materialized (select HotelID, stay_date, l, sum(case when lead >= l then revenue else 0 end) as target
   from cells cross join (select unnest(generate_series(0, 27)) as l) k where gone = -1 group by 1, 2, 3),
-params as (select b.HotelID, b.d, t.l, quantile_cont(target - base, 0.5) as med
-  from b join t on t.HotelID = b.HotelID and t.stay_date = b.stay_date and t.l < b.d
-  join ends e on e.HotelID = b.HotelID and b.stay_date < e.last - 28 group by 1, 2, 3),
-ho as (select b.HotelID, b.stay_date, b.d as d, t.l as l, base + med as y_pred, t.target as y_true
-  from b join ends e on e.HotelID = b.HotelID and cast(b.stay_date - (e.last - 28) as int) = b.d
-  join t on t.HotelID = b.HotelID and t.stay_date = b.stay_date and t.l < b.d
-  join params p on p.HotelID = b.HotelID and p.d = b.d and p.l = t.l)"""
+marked as materialized (select b.*, stay_date < last - 28 as early, cast(stay_date - (last - 28) as int) = d as asked
+  from b join ends using (HotelID)),
+params as materialized (select HotelID, d, l, quantile_cont(target - base, 0.5) as med
+  from (select * from marked where early) join t using (HotelID, stay_date) where l < d group by 1, 2, 3),
+points as materialized (select HotelID, stay_date, d, l, base + med as y_pred
+  from (select * from marked where asked) join params using (HotelID, d)),
+ho as (select HotelID, stay_date, d, l, y_pred, target as y_true from points join t using (HotelID, stay_date, l))"""
 
 
 def holdout_table(v):
@@ -437,64 +437,139 @@ def m05_wide(v):
     return far_fit(v, WIDE)
 
 
+FAR_ENDS_SQL = """,
+       asked as materialized (select HotelID, p, cast(last - 91 + cast(p as int) as date) as stay_date from ends cross join points),
+       found as materialized (select a.HotelID, a.p, a.stay_date, base, target
+         from asked a left join fb on fb.HotelID = a.HotelID and fb.stay_date = a.stay_date and fb.p = a.p)"""
+
+
 @check(
     "m12_far_field_results",
     "confirmed aware",
-    "with " + FAR_SQL.strip() + """
-       select HotelID, cast(last - 91 + cast(p as int) as date) as stay_date, cast(p as int) as prediction_point,
-         round(coalesce(target, 0), 6) + 0.0 as y_true, round(coalesce(base + q[2], 0), 6) + 0.0 as y_pred,
-         round(coalesce(base + q[1], 0), 6) + 0.0 as y_lower, round(coalesce(base + q[3], 0), 6) + 0.0 as y_upper
-       from ends cross join points left join far using (HotelID, p)
-       left join fb on fb.HotelID = ends.HotelID and fb.p = points.p and fb.stay_date = last - 91 + cast(points.p as int)""",
+    "with " + FAR_SQL.strip() + FAR_ENDS_SQL + """
+       select HotelID, stay_date, cast(p as int) as prediction_point, round(coalesce(target, 0), 6) + 0.0 as y_true,
+         round(coalesce(base + q[2], 0), 6) + 0.0 as y_pred, round(coalesce(base + q[1], 0), 6) + 0.0 as y_lower,
+         round(coalesce(base + q[3], 0), 6) + 0.0 as y_upper
+       from found left join far using (HotelID, p)""",
 )
 def m12(v):
     found = farfield.evaluate(training.stays_from(aware(v), FAR), FAR)
     return rounded(found, "y_true", "y_pred", "y_lower", "y_upper")
 
 
-SHORT = RunConfig(horizon=7, snapshots=7, lags=(7, 14, 28), pace_features=7)
-SHORT_PATH = RunConfig(horizon=7, snapshots=7, lags=(7, 14, 28), pace_features=7, recursive=True)
+@check(
+    "m12_linear_results",
+    "confirmed aware",
+    "with " + FAR_SQL.strip() + FAR_ENDS_SQL + """
+       select HotelID, stay_date, cast(p as int) as prediction_point, round(coalesce(target, 0), 6) + 0.0 as y_true,
+         true as predicted from found""",
+)
+def m12_linear(v):
+    """Far-field regression lines over the last stays: every point gets finite bounds."""
+    found = farfield.evaluate(training.stays_from(aware(v), FAR), FAR, "linear")
+    finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e12) for c in ("y_pred", "y_lower", "y_upper")]
+    return rounded(
+        found.select("HotelID", "stay_date", "prediction_point", "y_true", (finite[0] & finite[1] & finite[2]).alias("predicted")),
+        "y_true",
+    )
+
+
+FULL, FULL_PATH = RunConfig(), RunConfig(recursive=True)
 
 
 @check("m02_linear_quantile_fit")
 def m02(v):
-    return training.train(stays_plan(v, ORIGIN, SHORT, calendar_features=True), SHORT, "linear")
+    return training.train(stays_plan(v, ORIGIN, FULL, calendar_features=True), FULL, "linear")
+
+
+FITTED_SQL = """
+       select HotelID, cast(d as int) as day_ahead, cast(l as int) as target_lead, count(*) as n_rows, {marks}
+       from kept cross join (select unnest(generate_series(1, 28)) as d) a cross join (select unnest(generate_series(0, 27)) as l) b
+       where l < d group by 1, 2, 3"""
+
+
+def fitted_paths(v):
+    """In-sample predictions of the full linear models, a row a path point."""
+    stays = stays_plan(v, ORIGIN, FULL, calendar_features=True)
+    params = sinks.stage(training.train(stays, FULL, "linear"), v.scratch("linear-params"))
+    predicted = predict.linear_predict(training.model_rows(stays, FULL), params)
+    return results.explode_path(predicted, "y", *predict.RAW)
+
+
+POINT = ("HotelID", "day_ahead", "target_lead")
 
 
 @check(
     "m02_linear_fit_beats_constant",
     "confirmed exclusions",
-    "with " + KEPT_SQL.format(cut=f"date '{ORIGIN}'").strip() + """
-       select HotelID, cast(d as int) as day_ahead, cast(l as int) as target_lead, count(*) as n_rows,
-         true as low_fits, true as med_fits, true as high_fits
-       from kept cross join (select unnest(generate_series(1, 7)) as d) a cross join (select unnest(generate_series(0, 6)) as l) b
-       where l < d group by 1, 2, 3""",
+    "with " + KEPT_SQL.format(cut=f"date '{ORIGIN}'").strip()
+    + FITTED_SQL.format(marks="true as low_fits, true as med_fits, true as high_fits"),
 )
 def m02_quality(v):
     """In-sample pinball loss of every fitted line against the plain quantile of its targets."""
-    stays = stays_plan(v, ORIGIN, SHORT, calendar_features=True)
-    predicted = predict.linear_predict(training.model_rows(stays, SHORT), training.train(stays, SHORT, "linear"))
-    long = results.explode_path(predicted, "y", *predict.RAW)
-    keys = ["HotelID", "day_ahead", "target_lead"]
-    constant = long.groupBy(*keys).agg(F.percentile("y", F.array(*map(F.lit, SHORT.quantiles))).alias("q"))
+    long = fitted_paths(v)
+    constant = long.groupBy(*POINT).agg(F.percentile("y", F.array(*map(F.lit, FULL.quantiles))).alias("q"))
 
     def loss(forecast, q):
         rest = F.col("y") - forecast
         return F.avg(F.greatest(rest * q, rest * (q - 1)))
 
-    named = zip(("low_fits", "med_fits", "high_fits"), predict.RAW, SHORT.quantiles)
+    named = zip(("low_fits", "med_fits", "high_fits"), predict.RAW, FULL.quantiles)
     fits = [
         (loss(F.col(raw), q) <= loss(F.col("q")[i], q) * 1.01 + 1e-6).alias(name) for i, (name, raw, q) in enumerate(named)
     ]
-    return long.join(constant, keys).groupBy(*keys).agg(F.count("*").alias("n_rows"), *fits)
+    return long.join(constant, list(POINT)).groupBy(*POINT).agg(F.count("*").alias("n_rows"), *fits)
+
+
+@check(
+    "m02_linear_optimality",
+    "confirmed exclusions",
+    "with " + KEPT_SQL.format(cut=f"date '{ORIGIN}'").strip()
+    + FITTED_SQL.format(marks="true as low_optimal, true as med_optimal, true as high_optimal"),
+)
+def m02_optimality(v):
+    """A quantile line leaves its share of the rows below it: no more strictly below, no fewer at or below, give or take
+    two rows (the line passes through one, and two engines add its products in different order)."""
+    named = zip(("low_optimal", "med_optimal", "high_optimal"), predict.RAW, FULL.quantiles)
+
+    def optimal(raw, q):
+        near = 1e-6 * (1 + F.abs("y"))
+        below = F.count_if(F.col("y") < F.col(raw) - near)
+        not_above = F.count_if(F.col("y") <= F.col(raw) + near)
+        return (below <= q * F.count("*") + 2) & (not_above >= q * F.count("*") - 2)
+
+    marks = [optimal(raw, q).alias(name) for name, raw, q in named]
+    return fitted_paths(v).groupBy(*POINT).agg(F.count("*").alias("n_rows"), *marks)
+
+
+@check(
+    "m02_constant_is_quantile",
+    "confirmed exclusions",
+    "with " + KEPT_SQL.format(cut=f"date '{ORIGIN}'").strip() + """,
+       t as (select HotelID, stay_date, l, sum(case when lead >= l then revenue else 0 end) as target
+         from confirmed cross join (select unnest(generate_series(0, 27)) as l) k group by 1, 2, 3)
+       select HotelID, cast(d as int) as day_ahead, cast(l as int) as target_lead,
+         round(quantile_cont(target, 0.1) + 1.3e-4, 2) + 0.0 as q_low, round(quantile_cont(target, 0.5) + 1.3e-4, 2) + 0.0 as q_med,
+         round(quantile_cont(target, 0.9) + 1.3e-4, 2) + 0.0 as q_high
+       from kept join t using (HotelID, stay_date) cross join (select unnest(generate_series(1, 28)) as d) k
+       where l < d group by 1, 2, 3""",
+)
+def m02_constant(v):
+    """Without features the line is a constant, and the best constant is the plain quantile."""
+    config = RunConfig(lags=(), pace_features=0)
+    params = training.train(stays_plan(v, ORIGIN, config, with_features=False), config, "linear")
+    values = [
+        (F.round(F.col("intercepts")[i] + 1.3e-4, 2) + F.lit(0.0)).alias(n) for i, n in enumerate(("q_low", "q_med", "q_high"))
+    ]
+    return params.select(*POINT, *values)
 
 
 def recursive_forecast(v):
-    params = training.train(stays_plan(v, ORIGIN, SHORT_PATH, calendar_features=True), SHORT_PATH, "linear")
-    hotels = tables.clean_hotels(v.hotel_config).withColumn("inference_length", F.lit(7))
+    params = training.train(stays_plan(v, ORIGIN, FULL_PATH, calendar_features=True), FULL_PATH, "linear")
+    params = sinks.stage(params, v.scratch("path-params"))
     days_off = holidays(v, *booked_span(v))
-    matrix = inference.inference_matrix(confirmed(v), SHORT_PATH, hotels, ORIGIN, days_off)
-    return inference.forecast(matrix, params, SHORT_PATH, "run1", datetime(2001, 6, 15), "linear")
+    matrix = inference.inference_matrix(confirmed(v), FULL_PATH, tables.clean_hotels(v.hotel_config), ORIGIN, days_off)
+    return inference.forecast(matrix, params, FULL_PATH, "run1", datetime(2001, 6, 15), "linear")
 
 
 @check("m04_recursive_path")
@@ -504,10 +579,11 @@ def m04(v):
 
 @check(
     "m04_path_properties",
-    "confirmed",
+    "confirmed hotel_config",
     f"""select HotelID, stay_date, cast(stay_date - date '{ORIGIN}' + 1 as bigint) as points,
           round(sum(revenue), 6) + 0.0 as known_pace, true as never_falls, true as bands_ordered
-        from confirmed where stay_date > date '{ORIGIN}' and stay_date <= date '{ORIGIN}' + 7
+        from confirmed join hotel_config using (HotelID)
+        where stay_date > date '{ORIGIN}' and stay_date <= date '{ORIGIN}' + 28 and stay_date - date '{ORIGIN}' <= inference_length
           and confirmation_date <= date '{ORIGIN}' group by 1, 2""",
 )
 def m04_properties(v):

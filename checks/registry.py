@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,15 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def scratch(self, name: str) -> str:
+        """A new folder below the shared one (a local session without one gets a temporary folder)."""
+        root = self.spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not self.spark.conf.get("spark.master", "").startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            root = "file://" + tempfile.mkdtemp(prefix="checks-")
+        return f"{root.rstrip('/')}/checks-{name}-{uuid.uuid4().hex[:12]}"
+
     def __getattr__(self, name: str) -> DataFrame:
         return views.view(self.spark, self.sf_dir, name)
 

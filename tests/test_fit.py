@@ -21,6 +21,12 @@ def pinball(r, q):
     return np.where(r >= 0, q * r, (q - 1) * r).mean()
 
 
+def line(X, y, q, ridge=0.0):
+    """Predictions of the fitted line at X."""
+    a, slopes, rested = fit.SharedDesign(X, ridge).solve(y[:, None], (q,), np.array([X.shape[1]]))
+    return a[0] + X @ slopes[:, 0], rested[0]
+
+
 @pytest.mark.parametrize("q", [0.1, 0.5, 0.9])
 def test_pinball_solver_reaches_the_best_line(q):
     """The best quantile line passes through two points: try all pairs."""
@@ -31,21 +37,45 @@ def test_pinball_solver_reaches_the_best_line(q):
     best = min(
         pinball(y - X @ np.linalg.solve(X[[i, j]], y[[i, j]]), q) for i, j in itertools.combinations(range(60), 2)
     )
-    found = pinball(y - X @ fit.pinball_solve(X, y, q, steps=100, ridge=0.0), q)
-    assert found <= best * 1.01
+    assert pinball(y - line(x[:, None], y, q)[0], q) <= best * 1.005
 
 
 def test_solver_survives_constant_and_repeated_columns():
-    X = np.column_stack([np.ones(30), np.zeros(30), np.arange(30), np.arange(30)])
-    beta = fit.pinball_solve(X, np.arange(30) * 2.0, 0.5)
-    assert np.isfinite(beta).all() and np.allclose(X @ beta, np.arange(30) * 2.0, atol=0.5)
-
-
-def test_solver_says_whether_it_came_to_rest():
-    X = np.column_stack([np.ones(30), np.arange(30.0)])
-    assert fit.pinball_fit(X, 2.0 * np.arange(30), 0.5)[1]
-    noisy = 2.0 * np.arange(30) + np.random.default_rng(0).normal(size=30)
-    assert not fit.pinball_fit(X, noisy, 0.5, steps=1)[1]
+    X = np.column_stack([np.zeros(30), np.full(30, 7.0), np.arange(30), np.arange(30)])
+    found, _ = line(X, np.arange(30) * 2.0, 0.5)
+    assert np.allclose(found, np.arange(30) * 2.0, atol=0.5)
+    assert np.allclose(line(X, np.full(30, 4.0), 0.9)[0], 4.0)
+
+
+def test_solver_says_whether_it_came_to_rest(monkeypatch):
+    X, noise = np.arange(30.0)[:, None], np.random.default_rng(0).normal(size=30)
+    assert line(X, 2.0 * np.arange(30) + noise, 0.5, 1e-4)[1]
+    monkeypatch.setattr(fit, "STEPS", 1)
+    assert not line(X, 2.0 * np.arange(30) + noise, 0.5, 1e-4)[1]
+
+
+def test_targets_together_are_fitted_as_alone():
+    """All targets, quantiles and widths of one design share its factor; each has the line it has by itself."""
+    rng = np.random.default_rng(8)
+    X = rng.normal(size=(120, 6))
+    Y = X @ rng.normal(size=(6, 4)) + rng.exponential(2, (120, 4))
+    width, quantiles = np.array([2, 6, 4, 0]), (0.1, 0.5, 0.9)
+    a, slopes, _ = fit.SharedDesign(X, 1e-4).solve(Y, quantiles, width)
+    for j, w in enumerate(width):
+        for i, q in enumerate(quantiles):
+            own, at = line(X[:, :w], Y[:, j], q, 1e-4)[0], 3 * j + i
+            assert (slopes[w:, at] == 0).all()
+            assert pinball(Y[:, j] - a[at] - X @ slopes[:, at], q) == pytest.approx(pinball(Y[:, j] - own, q), rel=2e-3)
+    assert a[9:].tolist() == pytest.approx([np.quantile(Y[:, 3], q) for q in quantiles])
+
+
+def test_quantile_lines_leave_their_share_below():
+    rng = np.random.default_rng(2)
+    X = np.cumsum(rng.exponential(1, (300, 40)), axis=1)
+    Y = X[:, :2] + rng.exponential(1, (300, 2)) * X[:, 1:3]
+    a, slopes, rested = fit.SharedDesign(X, 1e-4).solve(Y, (0.1, 0.5, 0.9), np.array([40, 40]))
+    rest = np.repeat(Y, 3, axis=1) - a - X @ slopes
+    assert rested.all() and np.abs((rest < 0).mean(axis=0) - np.tile([0.1, 0.5, 0.9], 2)).max() <= 1 / 300
 
 
 def sample_rows(n=80, d=3):
