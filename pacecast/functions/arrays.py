@@ -15,11 +15,6 @@ def _col(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def kept_cells(cells: Column, snapshot: Column | int) -> Column:
-    """Cells still on the books `snapshot` days before the stay: cancelled later than that, or never."""
-    return F.filter(cells, lambda c: c["gone"] < _col(snapshot))
-
-
 def confirmed_cells(cells: Column) -> Column:
     return F.filter(cells, lambda c: c["gone"] < F.lit(0))
 
@@ -55,15 +50,30 @@ def gone_cells(cells: Column) -> Column:
     return F.filter(cells, lambda c: c["gone"] >= F.lit(0))
 
 
-def snapshot_between(lasting: Column, gone: Column, snapshot: Column | int, lo: Column | int, hi: Column | int) -> Column:
-    """Pace at leads lo..hi-1 as of a snapshot: the lasting pace, the same in all snapshots, plus the bookings
-    that were still to be cancelled. Only the few cancelled cells are walked for each snapshot."""
-    lo, hi = _col(lo), _col(hi)
-    then = kept_cells(gone, snapshot)
-    part = F.slice(lasting, (lo + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int"))
-    return F.when(F.size(then) == 0, part).otherwise(
-        F.zip_with(part, pace_between(then, lo, hi), lambda a, b: a + b)
-    )
+def snapshots_between(lasting: Column, gone: Column, first: Column | int, last: Column | int) -> Column:
+    """The pace of every snapshot first..last over all slots of `lasting`, as one array of arrays, in one fold.
+
+    Snapshot k differs from k - 1 by the cells that were cancelled k - 1 days before the stay; only these are walked, and a
+    snapshot without any is its predecessor. So a cancelled cell is walked once, not once for each later snapshot.
+    """
+    first, last, width = _col(first).cast("int"), _col(last).cast("int"), F.size(lasting)
+
+    def more(done, cells):
+        return F.when(F.size(cells) == 0, done).otherwise(
+            F.zip_with(done, pace_between(cells, 0, width), lambda a, b: a + b)
+        )
+
+    before = more(lasting, F.filter(gone, lambda c: c["gone"] < first))
+    start = F.struct(before.alias("now"), F.array(before).alias("all"))
+
+    def step(acc, k):
+        now = more(acc["now"], F.filter(gone, lambda c: c["gone"] == k - 1))
+        return F.struct(now.alias("now"), F.concat(acc["all"], F.array(now)).alias("all"))
+
+    later = F.when(last > first, F.sequence(first + 1, last)).otherwise(F.array().cast("array<int>"))
+    walked = F.aggregate(later, start, step, lambda acc: acc["all"])
+    whole = F.array_repeat(lasting, (last - first + 1).cast("int"))
+    return F.when(F.size(gone) == 0, whole).otherwise(walked)
 
 
 def booked_at(cells: Column, lead: Column | int) -> Column:

@@ -160,9 +160,14 @@ def rows_from_cells(
     top = F.lit(lead_window) if n_pace is None else F.least(d + n_pace, F.lit(lead_window))
     y = _near_targets(d) if far_step is None else F.array(F.get("target", d - far_step))
     wanted = distances if isinstance(distances, Column) else F.lit(list(distances))
-    spread = split_cells(stays, lead_window).withColumn("day_ahead", F.explode(wanted))
     lasting, gone = F.col("lasting"), F.col("gone")
-    seen = A.snapshot_between(lasting, gone, k, d, top)
+    # One fold gives all snapshots from the first to the last that a wanted distance reads.
+    low, high = F.array_min("_wanted") - snapshot_offset, F.array_max("_wanted") - snapshot_offset
+    held = split_cells(stays, lead_window).withColumn("_wanted", wanted).where(F.size("_wanted") > 0)
+    held = held.withColumn("_first", low).withColumn("_snapshots", A.snapshots_between(lasting, gone, low, high))
+    spread = held.withColumn("day_ahead", F.explode("_wanted"))
+    own = F.get("_snapshots", k - F.col("_first"))
+    seen = F.slice(own, (d + 1).cast("int"), F.greatest(top - d, F.lit(0)).cast("int"))
     if "lead_window" in stays.columns:  # a hotel's own window: farther slots read 0, as they do at inference
         seen = A.trim_pace(seen, F.col("lead_window") - d)
     return spread.select(
@@ -170,7 +175,7 @@ def rows_from_cells(
         "day_ahead",
         *keep,
         y.alias("y"),
-        (F.get(lasting, d) + A.booked_at(A.kept_cells(gone, k), d)).alias("base"),
+        F.get(own, d).alias("base"),
         _vector(stays, seen, lags, d).alias("x"),
     )
 

@@ -89,12 +89,9 @@ def split_cells(stays: DataFrame, lead_window: int) -> DataFrame:
 def explode_snapshots(stays: DataFrame, lead_window: int, snapshots: int, first: int = 0) -> DataFrame:
     """One row per snapshot k: the pace as it looked k days before the stay, cancellations up to then gone."""
     keep = [c for c in stays.columns if c != "cells"]
-    k = F.col("forecast_index")
-    spread = split_cells(stays, lead_window).withColumn(
-        "forecast_index", F.explode(F.sequence(F.lit(first), F.lit(snapshots - 1)))
-    )
-    seen = A.snapshot_between(F.col("lasting"), F.col("gone"), k, 0, lead_window)
-    return spread.select(*keep, "forecast_index", seen.alias("pace"))
+    seen = A.snapshots_between(F.col("lasting"), F.col("gone"), first, snapshots - 1)
+    spread = split_cells(stays, lead_window).select(*keep, F.posexplode(seen).alias("_at", "pace"))
+    return spread.select(*keep, (F.col("_at") + first).alias("forecast_index"), "pace")
 
 
 def snapshot_pace(aware: DataFrame, value: str | Column, lead_window: int, snapshots: int) -> DataFrame:

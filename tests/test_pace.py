@@ -194,3 +194,22 @@ def test_fill_linear_and_running_max(spark):
     filled = [r[0] for r in df.select(A.fill_linear(F.col("p"))).collect()]
     assert filled == [[1.0, 1.0, 2.0, 3.0, 4.0, 4.0], [None, None], [2.0, 1.0, 3.0]]
     assert df.select(A.running_max(F.col("p"))).collect()[2][0] == [2.0, 2.0, 3.0]
+
+
+@pytest.mark.parametrize("first,last", [(0, 7), (2, 5), (3, 3), (6, 9)])
+def test_snapshots_in_one_fold_equal_each_by_itself(spark, first, last):
+    """Every snapshot by definition: cells booked at least l days ahead and cancelled later than the snapshot, or never."""
+    rnd = random.Random(first * 10 + last)
+    rows = []
+    for i in range(40):
+        cells = [(rnd.randrange(12), rnd.choice([-1, -1, 0, 1, 2, 3, 4, 7]), float(rnd.randrange(1, 50))) for _ in range(i % 9)]
+        rows.append((i, sorted(cells, reverse=True)))
+    df = spark.createDataFrame(rows, "i int, cells array<struct<lead:int,gone:int,amount:double>>")
+    held = pace.split_cells(df, 10)
+    got = held.select("i", A.snapshots_between(F.col("lasting"), F.col("gone"), first, last).alias("all")).collect()
+    for r in got:
+        want = [
+            [sum(a for lead, gone, a in rows[r["i"]][1] if lead >= slot and gone < k) for slot in range(10)]
+            for k in range(first, last + 1)
+        ]
+        assert r["all"] == want

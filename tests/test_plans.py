@@ -87,7 +87,7 @@ def test_placed_and_plain_rows_fit_alike(inputs):
 
 def test_snapshots_are_exploded_after_the_last_shuffle(inputs):
     plan = physical(training.training_matrix(stays_plan(inputs), RunConfig()))
-    generate = plan.index("Generate explode")
+    generate = plan.index("Generate posexplode")
     assert "Exchange hashpartitioning" not in plan[:generate] and "Exchange hashpartitioning" in plan[generate:]
 
 
