@@ -7,14 +7,23 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pacecast import schema as S
 
 
 def read_table(spark: SparkSession, source: str, schema=None) -> DataFrame:
-    """Read a parquet path (anything with a slash) or a catalog table, checked against its schema."""
+    """Read a parquet path (anything with a slash) or a catalog table, checked against its schema.
+
+    A partition column of digits would be read as a number; where the schema says text, "007" stays what it is.
+    """
     df = spark.read.parquet(source) if "/" in source else spark.table(source)
-    return S.validate(df, schema) if schema is not None else df
+    if schema is None:
+        return df
+    last = df.schema.fields[-1]  # partition columns come last
+    if "/" in source and last.name in schema.fieldNames() and last.dataType != schema[last.name].dataType == T.StringType():
+        df = spark.read.schema(T.StructType([*df.schema.fields[:-1], schema[last.name]])).parquet(source)
+    return S.validate(df, schema)
 
 
 def read_bookings(spark: SparkSession, source: str) -> DataFrame:

@@ -101,3 +101,24 @@ def test_matrix_is_written_and_read_again(spark, tmp_path):
     assert back.count() == 20 * 3
     columns = ("stay_date", "forecast_index", "pace", "target")
     assert D.rows_of(back, *columns) == D.rows_of(training.training_matrix(stays, config), *columns)
+
+
+def test_hotel_ids_of_digits_stay_text(spark, tmp_path):
+    from pacecast import schema as S
+    from pacecast.sources import sinks, tables
+
+    row = (1, "007", None, None, "WEB", "Confirmed", 1.0, 1.0)
+    path = f"{tmp_path}/bookings"
+    sinks.overwrite(spark.createDataFrame([row], S.BOOKINGS), path)
+    assert [r.HotelID for r in tables.read_bookings(spark, path).collect()] == ["007"]
+
+
+def test_replaced_parts_leave_the_others(spark, tmp_path):
+    from pacecast.sources import sinks
+
+    path = f"{tmp_path}/runs"
+    write = lambda rows: sinks.replace_parts(spark.createDataFrame(rows, "x int, run_id string, HotelID string"), path)
+    write([(1, "a", "h1"), (2, "a", "h2"), (3, "b", "h1")])
+    write([(5, "a", "h1")])
+    write([(5, "a", "h1")])
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(2, "a", "h2"), (3, "b", "h1"), (5, "a", "h1")]
