@@ -37,7 +37,7 @@ def test_word_cache_that_overflows(monkeypatch):
         batch = texts(10, seed)
         want = cache.tokenizer.encode_batch(batch, add_special_tokens=False)
         assert [np.frombuffer(p, cache.dtype).tolist() for p in cache.encode(batch)] == [e.ids for e in want]
-        assert len(cache.after_space.old) <= 50 + 600
+        assert len(cache.later.old) <= 50 + 600
 
 
 def test_pieces_that_overflow(monkeypatch):
