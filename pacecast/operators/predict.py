@@ -33,10 +33,20 @@ def _pickup(slot: int) -> Column:
     return F.transform("_path", lambda point: F.col("base") + point["offsets"][slot])
 
 
-def pickup_predict(rows: DataFrame, params: DataFrame, quantiles=(0.1, 0.5, 0.9)) -> DataFrame:
+def _with_path(rows: DataFrame, paths: DataFrame, unfitted: bool) -> DataFrame:
+    """Rows with their models in path order; with `unfitted` those without any keep their row and an empty path."""
+    if not unfitted:
+        return rows.join(paths, list(GROUP), "inner")
+    empty = F.array().cast(paths.schema["_path"].dataType)
+    return rows.join(paths, list(GROUP), "left").withColumn("_path", F.coalesce("_path", empty))
+
+
+def pickup_predict(
+    rows: DataFrame, params: DataFrame, quantiles=(0.1, 0.5, 0.9), unfitted: bool = False
+) -> DataFrame:
     """Known pace plus the fitted pickup, for every point of the path."""
     slots = dict(zip(RAW, _slots(quantiles)))
-    joined = rows.join(_in_path_order(params, "offsets"), list(GROUP), "inner")
+    joined = _with_path(rows, _in_path_order(params, "offsets"), unfitted)
     return joined.withColumns(
         {
             "target_leads": _field(F.col("_path"), "target_lead"),
@@ -45,13 +55,15 @@ def pickup_predict(rows: DataFrame, params: DataFrame, quantiles=(0.1, 0.5, 0.9)
     ).drop("_path")
 
 
-def linear_predict(rows: DataFrame, params: DataFrame, quantiles=(0.1, 0.5, 0.9)) -> DataFrame:
+def linear_predict(
+    rows: DataFrame, params: DataFrame, quantiles=(0.1, 0.5, 0.9), unfitted: bool = False
+) -> DataFrame:
     """Linear models walked along the path; every quantile of a point sees the medians of earlier points.
 
     For models that were not fitted recursively the path coefficients are empty and add nothing.
     """
     slots = dict(zip(RAW, _slots(quantiles)))
-    joined = rows.join(_in_path_order(params, "intercepts", "coefs", "path_coefs"), list(GROUP), "inner")
+    joined = _with_path(rows, _in_path_order(params, "intercepts", "coefs", "path_coefs"), unfitted)
 
     def step(done, s):
         medians = F.transform(done, lambda p: p["y_med_raw"])

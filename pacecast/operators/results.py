@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pacecast.config import SENTINEL_DATE
@@ -35,11 +35,13 @@ def _with_origin(df: DataFrame) -> DataFrame:
 DONE, FAILED, DONE_TEXT = "complete", "incomplete", "Successfully processed "
 NO_CURRENCY = "forecast currency is missing for a revenue forecast"
 NO_PATH = "no point of the path could be predicted"
+NO_MODEL = "no model for the distance"
 
 
 def path_failure(df: DataFrame, target_type: str) -> Column:
     """Why a path cannot be published, or null. A failing path never fails the others."""
-    why = F.when(~F.coalesce(F.exists("y_med_raw", lambda y: y.isNotNull()), F.lit(False)), NO_PATH)
+    predicted = F.coalesce(F.exists("y_med_raw", lambda y: y.isNotNull()), F.lit(False))
+    why = F.when(F.size("target_leads") == 0, NO_MODEL).when(~predicted, NO_PATH)
     if target_type == "REVENUE":
         return F.when(F.col("forecast_currency").isNull(), NO_CURRENCY).otherwise(why)
     if target_type == "ROOMS" and "available_rooms" in df.columns:
@@ -165,6 +167,28 @@ def run_summary(results: DataFrame) -> DataFrame:
     )
 
 
+#: The report's lines, in the order of the counters.
+REASONS = (DONE, NO_MODEL, NO_CURRENCY, NO_ROOMS, NO_PATH)
+
+
+def counted(rows: DataFrame, counters: Observation) -> DataFrame:
+    """Forecast rows that count their paths, complete and by reason, while something else writes them.
+
+    Take it before `one_failure_each`: there each failing path still has a row of its own.
+    """
+    first = F.col("day_index") == 0
+    complete, failing = first & (F.col("status") == DONE), F.col("status") != DONE
+    per_reason = [complete if r == DONE else failing & (F.col("message") == r) for r in REASONS]
+    return rows.observe(counters, *[F.count_if(c).alias(f"n{i}") for i, c in enumerate(per_reason)])
+
+
+def run_report(spark: SparkSession, counters: Observation) -> DataFrame:
+    """Paths of a run by outcome, from the counters of its write: no further pass over the rows."""
+    seen = counters.get
+    rows = [(reason, int(seen.get(f"n{i}", 0))) for i, reason in enumerate(REASONS)]
+    return spark.createDataFrame(rows, "outcome string, paths long")
+
+
 def holdout_rows(predicted: DataFrame, pms_sync_off: bool = False) -> DataFrame:
     """Hold-out predictions beside the truth; `predicted` carries the targets as `y`."""
     long = explode_path(predicted, "y_med_raw", "y", keep=("HotelID", "stay_date"))

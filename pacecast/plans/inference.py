@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pacecast.config import RunConfig
@@ -53,13 +53,16 @@ def inference_matrix(
     return matrix
 
 
-def repaired_paths(matrix: DataFrame, params: DataFrame, config: RunConfig, method: str = "pickup") -> DataFrame:
-    """Predicted, filled, repaired and (for rooms) capped paths, one row per hotel and stay."""
+def repaired_paths(
+    matrix: DataFrame, params: DataFrame, config: RunConfig, method: str = "pickup", unfitted: bool = False
+) -> DataFrame:
+    """Predicted, filled, repaired and (for rooms) capped paths, one row per hotel and stay; with `unfitted` also for
+    stays at a distance without a model, their paths empty."""
     keep = ("available_rooms", "forecast_currency")
     lags = () if method == "pickup" else config.lags
     rows = features.inference_rows(matrix, lags, config.pace_features, keep)
     forecast = predict.pickup_predict if method == "pickup" else predict.linear_predict
-    predicted = forecast(rows, params, config.quantiles)
+    predicted = forecast(rows, params, config.quantiles, unfitted)
     return repair.repair_arrays(predicted, "available_rooms" if config.target_type == "ROOMS" else None)
 
 
@@ -72,12 +75,14 @@ def forecast(
     method: str = "pickup",
     model_version: int | str = 1,
     strict: bool = False,
+    unfitted: bool = False,
 ) -> DataFrame:
-    """Published rows; a path that cannot be published is a failure row, or (strict) ends the job.
+    """Published rows; a path that cannot be published is a failure row, or (strict) ends the job. With `unfitted` a
+    stay at a distance without a model is such a path; else it has no row.
 
     Parameters that carry a version (operators.versions.pick) put each hotel's own on its rows.
     """
-    paths = repaired_paths(matrix, params, config, method)
+    paths = repaired_paths(matrix, params, config, method, unfitted)
     if "version" in params.columns:
         used = params.groupBy("HotelID").agg(F.max("version").alias("version"))
         paths, model_version = paths.join(used, "HotelID"), "version"
@@ -87,12 +92,21 @@ def forecast(
 
 
 def publish(
-    forecasts: DataFrame, requested: DataFrame, config: RunConfig, run_id: str, target: str, staging: str | None = None
+    forecasts: DataFrame,
+    requested: DataFrame,
+    config: RunConfig,
+    run_id: str,
+    target: str,
+    staging: str | None = None,
+    counters: Observation | None = None,
 ) -> DataFrame:
     """Stage the forecasts, add failure rows, append the complete ones; returns the staged rows with failures.
 
     A repeated call with the same run_id appends only what the target does not hold yet of that run.
+    `counters` are filled while the forecasts are staged (results.counted); results.run_report makes a table of them.
     """
+    if counters is not None:
+        forecasts = results.counted(forecasts, counters)
     staged = results.one_failure_each(sinks.stage(forecasts, staging))
     everything = staged.unionByName(results.failure_rows(requested, staged, run_id, NO_DATA, config.without_pms))
     done = results.completed(everything, config.target_type)

@@ -43,13 +43,15 @@ def append_metrics(df: DataFrame, target: str) -> None:
     append(df, target, partition_by=None)
 
 
-def replace_parts(df: DataFrame, target: str, keys: tuple[str, ...] = ("run_id", "HotelID")) -> None:
+def replace_parts(
+    df: DataFrame, target: str, keys: tuple[str, ...] = ("run_id", "HotelID"), spread: tuple[str, ...] | None = None
+) -> None:
     """Replace the partitions that df has rows for and leave all others: writing again gives the same folder.
 
     A run that failed half way, or a hotel that is forecast anew, is mended by writing its rows once more; nothing is
-    read first. A partition that df has no row for stays as it was.
+    read first. A partition that df has no row for stays as it was. `spread` names other columns to rebalance by.
     """
-    writer = rebalance(df, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = rebalance(df, *(spread or keys)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(target)
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from pacecast import schema as S
 
+#: What lets Spark answer a maximum from parquet footers.
+FOOTER_SETTINGS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
 
 def read_table(spark: SparkSession, source: str, schema=None) -> DataFrame:
     """Read a parquet path (anything with a slash) or a catalog table, checked against its schema.
@@ -103,3 +106,25 @@ def require_rows(df: DataFrame, name: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{name} is empty")
     return df
+
+
+def footer_watermark(spark: SparkSession, path: str, column: str = "confirmation_date") -> date | None:
+    """The latest date of a parquet folder, from the statistics in its files' footers: no column is read.
+
+    A session of its own asks for it, so the caller's settings stay. Spark itself reads the column where the
+    statistics cannot answer by type; where files were written without statistics it says so, and the column is
+    read here.
+    """
+    footers = spark.newSession()
+    for key, value in FOOTER_SETTINGS.items():
+        footers.conf.set(key, value)
+    try:
+        return latest_in(footers, path, column).first()[0]
+    except Exception as err:
+        if "aggregatePushdown" not in str(err):
+            raise
+        return latest_in(spark, path, column).first()[0]
+
+
+def latest_in(spark: SparkSession, path: str, column: str) -> DataFrame:
+    return spark.read.parquet(path).agg(F.max(column))
