@@ -161,6 +161,33 @@ def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
 
+# Sets of shingles as text; classes of equal sets, links between classes, and what these reach.
+ORACLES["op11_jaccard_join"] = r"""
+with recursive docs as (
+    select row_number() over () as rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+    from documents),
+sets as (
+    select rid, doc_id, list_sort(list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_transform(list_zip(w, w[2:], w[3:])[:len(w) - 2], lambda x: concat(x[1], ' ', x[2], ' ', x[3]))
+        end)) as s from docs),
+classes as materialized (select s, len(s) as n, row_number() over () as c from (select distinct s from sets where len(s) > 0)),
+members as (select c, n, unnest(s) as m from classes),
+links as (
+    select a.c as a, b.c as b from members a join members b on a.m = b.m and a.c < b.c
+        and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+    group by a.c, b.c, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+edges as (select a, b from links union all select b, a from links),
+reach as (select c as a, c as b from classes union select r.a, e.b from reach r join edges e on r.b = e.a),
+named_sets as (select s, min(doc_id) as least_id, count(*) as copies from sets group by s),
+named as (select r.a as c, min(least_id) as component_id from reach r join classes on classes.c = r.b
+    join named_sets using (s) group by r.a)
+select doc_id, len(s) as n_shingles, case when len(s) = 0 then doc_id else component_id end as component_id,
+    case when len(s) = 0 then 1 else copies end as n_copies
+from sets left join classes using (s) left join named using (c) left join named_sets using (s)
+"""
+
+
 @query("op12_spelling_variants")
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
