@@ -6,7 +6,9 @@ documents follow each other without gaps, the end id after each; only the last r
 `part-N.docs.arrow` lists the file's documents: doc_id, start (within the file), n_tokens. N ascends with doc_id.
 
 Null text counts as empty (the end id alone). Null doc_ids sort first. Repeated rows each keep their own ids; equal
-doc_ids are ordered by text. An empty table makes no files and no rows.
+doc_ids are ordered by a hash of the text, then the text, and may span files, so that null or repeated ids do not meet
+in one task. A text stays whole, however long: its ids follow each other over as many rows as they need. An empty table
+makes no files and no rows. Other columns of the documents are not read.
 """
 
 from __future__ import annotations
@@ -97,7 +99,10 @@ class RowWriter:
 
 
 class TokenFile:
-    """Random access to a token file: `file[i]` is (ids, mask) of row i, views into the mapped file where it is local."""
+    """Random access to a token file: `file[i]` is (ids, mask) of row i, views into the mapped file where it is local.
+
+    ids is a numpy array. mask is an Arrow array, as the file holds it in bits, which numpy cannot view.
+    """
 
     def __init__(self, path: str):
         store, name = _open(path)
@@ -113,13 +118,12 @@ class TokenFile:
         n = self.reader.num_record_batches
         return (n - 1) * self.batch_rows + self.reader.get_batch(n - 1).num_rows if n else 0
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if not 0 <= i < len(self):
             raise IndexError(i)
         batch, at = self.reader.get_batch(i // self.batch_rows), (i % self.batch_rows) * self.row_length
         ids = batch.column(0).flatten().slice(at, self.row_length).to_numpy()
-        mask = batch.column(1).flatten().slice(at, self.row_length).to_numpy(zero_copy_only=False)
-        return ids, mask
+        return ids, batch.column(1).flatten().slice(at, self.row_length)
 
     def batches(self):
         """(ids, valid ids in it) of each record batch, in file order."""
@@ -183,7 +187,10 @@ def write_token_files(
                 }
             )
 
-    ranged = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    # The row's number parts wholly equal rows, whose order shows nowhere.
+    told = texts.select("*", F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_row"))
+    ranged = told.repartitionByRange(parts, "doc_id", "_hash", "_row").sortWithinPartitions("doc_id", "_hash", "text")
+    ranged = ranged.select("doc_id", "text")
     return staged(ranged.mapInArrow(write, MANIFEST), "manifest")
 
 

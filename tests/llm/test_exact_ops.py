@@ -35,8 +35,14 @@ def tokenizer():
     return t
 
 
+def text_hash(text):
+    """The hash that orders the texts of one id: signed XXH64 of seed 42, which is the seed itself for null."""
+    h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def by_id(rows):
-    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, text_hash(r[1]), r[1] or ""))
 
 
 @pytest.mark.parametrize("row_length,batch_rows", [(16, 4), (2048, 256)])
@@ -55,8 +61,10 @@ def test_token_files(docs, doc_rows, tokenizer, tmp_path, monkeypatch, row_lengt
         file = tokenbin.TokenFile(r["file"])
         rows = [file[i] for i in range(len(file))]
         assert all(len(ids) == row_length and not ids.flags.owndata for ids, _ in rows)
-        assert all(m.all() for _, m in rows[:-1])
-        got += [int(x) for ids, m in rows for x in ids[m]]
+        within = [(b.address, b.address + b.size) for k in range(file.reader.num_record_batches) for b in file.reader.get_batch(k).column(1).flatten().buffers() if b]
+        assert all(any(a <= m.buffers()[1].address < z for a, z in within) for _, m in rows)  # masks are views as well
+        assert all(m.true_count == row_length for _, m in rows[:-1])
+        got += [int(x) for ids, m in rows for x in ids[m.to_numpy(zero_copy_only=False)]]
         with pytest.raises(IndexError):
             file[len(file)]
     assert got == stream
@@ -67,6 +75,16 @@ def test_token_files_of_nothing(none, tmp_path):
     assert tokenbin.token_files(none, BPE, 2, f"file://{tmp_path}/t").collect() == []
 
 
+@pytest.mark.parametrize("equal", [False, True])
+def test_token_files_of_one_id(spark, tmp_path, equal):
+    """Rows of one (null) id, or all equal, spread over the files."""
+    text = F.lit("the same few words") if equal else F.concat(F.lit("text "), F.col("id").cast("string"))
+    docs = spark.range(4000).repartition(4).select(F.lit(None).cast("long").alias("doc_id"), F.repeat(text, 4).alias("text"))
+    manifest = tokenbin.write_token_files(docs, f"file://{tmp_path}/t", BPE, 2, 64, 1 << 15).collect()
+    assert len(manifest) > 4 and sum(r["n_docs"] for r in manifest) == 4000
+    assert max(r["n_docs"] for r in manifest) < 2000
+
+
 def test_word_cache_equals_library(tokenizer):
     from pacecast.llm.wordcache import WordCache
 
@@ -97,6 +115,25 @@ def test_shards(docs, doc_rows, none):
     assert sharding.interleave(none).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["null ids", "equal ids", "equal rows", "one row a source"])
+def test_shards_of_hot_keys(spark, kind):
+    """No slice or cut grows with a key; results stay whole."""
+    n, slices = 20_000, 20
+    made = {"null ids": F.lit(None).cast("long"), "equal ids": F.lit(7).cast("long"), "equal rows": F.lit(7).cast("long")}
+    text = F.lit("copy") if kind == "equal rows" else F.concat(F.lit("t"), F.col("id").cast("string"))
+    source = F.col("id").cast("string") if kind == "one row a source" else F.lit("hot")
+    docs = spark.range(n).select(made.get(kind, F.col("id")).alias("doc_id"), text.alias("text"), source.alias("source"))
+    rows = sharding.sliced(sharding.distinct_rows(docs), slices, "s")
+    largest = rows.groupBy("source", "_slice").count().agg(F.max("count")).first()[0]
+    assert largest < 2 * n / slices
+    ranked = sharding._numbered(rows, ["source"], "_slice", ["_key", *sharding.ROW], "_rank")
+    cuts = sharding.mixed(ranked, slices, "s").groupBy("_cut").count().agg(F.max("count")).first()[0]
+    assert cuts < 2 * n / slices
+    got = sharding.interleave(docs, shards=3, slice_rows=1000)
+    places = got.groupBy("shard").agg(F.count("slot").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("top"))
+    assert all(abs(r["n"] - n / 3) < 1 and r["n"] == r["d"] == r["top"] + 1 for r in places.collect())
+
+
 def test_write_shards(docs, tmp_path, spark):
     sharding.write_shards(docs, f"file://{tmp_path}/shards", shards=3)
     assert spark.read.parquet(f"file://{tmp_path}/shards").count() == docs.count()
