@@ -338,6 +338,39 @@ def p09(v):
     )
 
 
+@check(
+    "p09_reference_statuses",
+    "dated aware",
+    """with points as (select unnest(generate_series(35, 91, 7)) as p),
+       tgts as (select HotelID, stay_date, p,
+           sum(case when stay_date - confirmation_date >= p - 7 then revenue else 0 end) as target
+         from dated cross join points
+         where status in (select status from booking_status where scenario = 'confirmed') group by 1, 2, 3),
+       feats as (select HotelID, stay_date, p, sum(case when lead >= p and gone < p then revenue else 0 end) as base,
+           sum(case when lead >= p and gone < p then revenue * (least(lead, 151) - p + 1) else 0 end) as seen
+         from aware cross join points group by 1, 2, 3)
+       select HotelID, stay_date, cast(p as int) as day_ahead, round(base, 6) + 0.0 as base,
+         round(target, 6) + 0.0 as target, round(seen, 4) + 0.0 as seen, cast(152 - p as int) as n_features
+       from feats join tgts using (HotelID, stay_date, p)""",
+)
+def p09_statuses(v):
+    """Targets by status alone, whatever the cancellation date says; features as ever."""
+    from pacecast.config import FarFieldConfig
+
+    config = FarFieldConfig(lags=(), targets_by_status=True)
+    kept = training.aware_bookings(v.bookings, v.transactions, v.booking_status, config)
+    rows = training.model_rows(training.stays_from(kept, config), config)
+    total = F.aggregate("x", F.lit(0.0), lambda a, x: a + x)
+    return rows.select(
+        *pace.KEYS,
+        "day_ahead",
+        r6("base").alias("base"),
+        r6(F.get("y", F.lit(0))).alias("target"),
+        (F.round(total, 4) + F.lit(0.0)).alias("seen"),
+        F.size("x").alias("n_features"),
+    )
+
+
 @check(
     "p09_far_field_lags",
     "confirmed",

@@ -285,6 +285,24 @@ def j01(v):
     return by_kind(joined.withColumn("kind", kind), "status", "kind")
 
 
+@check(
+    "j01_candidates_only",
+    "bookings transactions",
+    f"""select b.status, case when t.cancellation_date is null then 'open'
+              when t.cancellation_date <= b.stay_date then 'before' else 'after' end as kind, {BY_KIND}
+        from bookings b left join transactions t using (TransactionID) group by 1, 2""",
+)
+def j01_candidates(v):
+    """Only bookings that a filter of cancelled ids lets through meet the transactions."""
+    joined = clean.attach_to_candidates(v.bookings, v.transactions, bits=1 << 24)
+    kind = (
+        F.when(F.col("cancellation_date").isNull(), "open")
+        .when(F.col("cancellation_date") <= F.col("stay_date"), "before")
+        .otherwise("after")
+    )
+    return by_kind(joined.withColumn("kind", kind), "status", "kind")
+
+
 @check(
     "j07_drop_excluded",
     "hotel_stays exclusions",

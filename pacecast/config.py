@@ -27,10 +27,14 @@ class RunConfig:
     recursive: bool = False
     cancel_aware: bool = True  # False: plain pace of confirmed bookings, the same in every snapshot
     pipeline: str = "main_training_pipeline"  # whose exclusions hold
+    targets_by_status: bool = False  # True: targets count every booking of a confirmed status, cancelled later or not
+    filter_bits: int = 0  # above 0: size of a filter of cancelled ids; bookings it rules out skip the exchange
 
     def __post_init__(self):
         target_prefix(self.target_type)
         check_quantiles(self.quantiles)
+        if self.targets_by_status and not self.cancel_aware:
+            raise ValueError("targets by status stand beside cancel-aware features")
         if self.snapshots is None:
             object.__setattr__(self, "snapshots", self.snapshots_read)
         if self.snapshots < self.snapshots_read:

@@ -1,7 +1,7 @@
 """Column expressions over short arrays: pace slots, gap filling, dot products, quantiles.
 
 A "cell" is struct(lead, gone, amount): money or rooms booked `lead` days before the stay and cancelled
-`gone` days before it (-1 = never). Cells come sorted by lead, highest first, at most
+`gone` days before it (-1 = never, -2 = for targets alone). Cells come sorted by lead, highest first, at most
 lead_window x (snapshots + 1) of them per stay, so the folds below run over bounded arrays.
 """
 
@@ -50,6 +50,11 @@ def gone_cells(cells: Column) -> Column:
     return F.filter(cells, lambda c: c["gone"] >= F.lit(0))
 
 
+def seen_cells(cells: Column) -> Column:
+    """Without the cells that are for targets alone."""
+    return F.filter(cells, lambda c: c["gone"] > F.lit(-2))
+
+
 def snapshots_between(lasting: Column, gone: Column, first: Column | int, last: Column | int) -> Column:
     """The pace of every snapshot first..last over all slots of `lasting`, as one array of arrays, in one fold.
 

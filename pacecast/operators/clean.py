@@ -26,6 +26,60 @@ def attach_cancellations(bookings: DataFrame, transactions: DataFrame) -> DataFr
     return bookings.join(cancelled, "TransactionID", "left")
 
 
+BLOCK_BITS = 32_768  # bits of one row of a key filter: 4 KB
+WORD_BITS = 32
+
+
+def _place(key: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits))
+
+
+def key_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """block, words: which of `bits` places the hashes of all keys fall on, BLOCK_BITS to a row as 32-bit words.
+
+    Its size is bits / 8 bytes at most, whatever the number of keys; more keys only make more false hits. Null keys
+    are left out.
+    """
+    if bits < BLOCK_BITS or bits % BLOCK_BITS:
+        raise ValueError(f"a filter has a multiple of {BLOCK_BITS} bits")
+    at = keys.where(F.col(key).isNotNull()).select(_place(key, bits).alias("at"))
+    block = F.floor(F.col("at") / BLOCK_BITS).alias("block")
+    maps = at.groupBy(block).agg(F.bitmap_construct_agg(F.col("at") % BLOCK_BITS).alias("map"))
+    four = lambda i: F.conv(F.hex(F.substr("map", i * 4 + 1, F.lit(4))), 16, 10).cast("long")
+    signed = lambda x: F.when(x >= 1 << 31, x - (1 << 32)).otherwise(x).cast("int")
+    numbers = F.sequence(F.lit(0), F.lit(BLOCK_BITS // WORD_BITS - 1))
+    return maps.select("block", F.transform(numbers, lambda i: signed(four(i))).alias("words"))
+
+
+def may_hold(df: DataFrame, found: DataFrame, key: str, bits: int, out: str) -> DataFrame:
+    """Add `out`: whether the key may be among those of the filter. False is certain; null keys are false.
+
+    The filter goes to every task, as its size is bounded by `bits`.
+    """
+    block = F.floor(_place(key, bits) / BLOCK_BITS)
+    bit = _place(key, bits) % WORD_BITS  # bytes stand in file order in a word, bits of a byte from the lowest
+    shift = 8 * (3 - F.floor(bit / 8)) + bit % 8
+    word = F.get("_words", (F.floor(_place(key, bits) / WORD_BITS) % (BLOCK_BITS // WORD_BITS)).cast("int"))
+    sent = F.broadcast(found.select(F.col("block").alias("_block"), F.col("words").alias("_words")))
+    hit = F.coalesce(F.col(key).isNotNull() & (F.getbit(word, shift.cast("int")) == 1), F.lit(False))
+    return df.join(sent, block == F.col("_block"), "left").withColumn(out, hit).drop("_block", "_words")
+
+
+def attach_to_candidates(bookings: DataFrame, transactions: DataFrame, bits: int) -> DataFrame:
+    """As attach_cancellations, but only bookings whose id may be a cancelled one meet the transactions.
+
+    Most bookings are never cancelled. A filter of fixed size over the cancelled ids tells these apart, so they skip
+    the exchange and are united back without a date. The price is a second scan of the bookings. False hits meet no
+    transaction and read null as before. Pays where cancelled ids are too many to send whole, and fewer than about `bits`.
+    """
+    cancelled = transactions.where(F.col("cancellation_date").isNotNull()).select("TransactionID", "cancellation_date")
+    marked = may_hold(bookings, key_filter(cancelled, "TransactionID", bits), "TransactionID", bits, "_may")
+    met = marked.where("_may").drop("_may").join(cancelled, "TransactionID", "left")
+    day = cancelled.schema["cancellation_date"].dataType
+    rest = marked.where("not _may").drop("_may").withColumn("cancellation_date", F.lit(None).cast(day))
+    return met.unionByName(rest)
+
+
 def fill_no_show(df: DataFrame, mode: str | None = "fill_null", status: str = NO_SHOW) -> DataFrame:
     """No-shows count as cancelled on the stay date: only where no date is known, always, or (None) not at all."""
     if mode is None:
@@ -63,6 +117,20 @@ def cancel_aware(df: DataFrame, lookup: DataFrame) -> DataFrame:
     return _in_scenario(df, lookup).where(keep).drop("_confirmed", "_cancelled")
 
 
+def with_status_targets(df: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Cancel-aware rows, and rows that count for targets alone, told apart by `target_only`.
+
+    Targets go by status alone here: a booking of a confirmed status counts, whatever its cancellation date. Where that
+    date keeps it out of the cancel-aware rows, or makes it a cancelled one there, it comes (again) as a target-only row.
+    """
+    lasting = F.col("_confirmed") & F.col("cancellation_date").isNull()
+    gone = F.col("_cancelled") & (F.col("cancellation_date") <= F.col("stay_date"))
+    late = F.col("_confirmed") & F.col("cancellation_date").isNotNull()
+    roles = F.array(F.when(lasting | gone, F.lit(False)), F.when(late, F.lit(True)))
+    marked = _in_scenario(df, lookup).withColumn("target_only", F.explode(F.array_compact(roles)))
+    return marked.drop("_confirmed", "_cancelled")
+
+
 def select_hotels(df: DataFrame, hotels: DataFrame | list[str] | None) -> DataFrame:
     """Keep selected hotels; an empty selection keeps all."""
     if hotels is None or hotels == []:

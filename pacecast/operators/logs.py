@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # The text that failing hotels write to the log.
@@ -33,6 +36,60 @@ def error_lines(
     return hits
 
 
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in reading order with `line` and `started`: how many lines and record starts their block had up to them."""
+    at, lines, starts = None, 0, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = np.array(batch.column("starts").to_pylist(), np.int64)
+        keys = list(zip(batch.column("file").to_pylist(), batch.column("block").to_pylist()))
+        line, started = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+        for a, b in zip(cuts, cuts[1:]):
+            if keys[a] != at:
+                at, lines, starts = keys[a], 0, 0
+            line[a:b] = lines + np.arange(1, b - a + 1)
+            started[a:b] = starts + np.cumsum(own[a:b])
+            lines, starts = int(line[b - 1]), int(started[b - 1])
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("file", "block", "starts", "value")), pa.array(line), pa.array(started)],
+            names=["file", "block", "starts", "value", "line", "started"],
+        )
+
+
+def log_records(blocks: DataFrame, text: str = ERROR_TEXT) -> DataFrame:
+    """file, value, n_below, last_below: records whose first line holds `text`, with the number of lines below it (a
+    trace, say) and the last of them that is not empty.
+
+    A record starts at a line with a time stamp and goes on to the next one. A file is read in blocks by many tasks, so
+    a trace may begin in one block and end in a later one: each block counts its own record starts, and lines above a
+    block's first start belong to the last start of the nearest earlier block that has one, which a small table of
+    the blocks tells. No task sees more than its blocks, and a task sums up its lines by record before they move. Lines above a
+    file's first record belong to none.
+    """
+    starts = F.coalesce(F.col("value").rlike(TIME_PATTERN), F.lit(False)).alias("starts")
+    numbered = blocks.select("file", "block", starts, "value").mapInArrow(
+        _number, "file string, block long, starts boolean, value string, line long, started long"
+    )
+    # Starts are counted off the lines themselves, so this table and the lines agree however the blocks are dealt out.
+    ends = blocks.select("file", "block", starts).groupBy("file", "block").agg(F.count_if("starts").alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    owner = F.struct(F.col("block").alias("home"), F.col("n").alias("place"))
+    carried = ends.select("file", "block", F.last(F.when(F.col("n") > 0, owner), ignorenulls=True).over(earlier).alias("before"))
+    own = F.struct(F.col("block").alias("home"), F.col("started").alias("place"))
+    placed = numbered.join(carried, ["file", "block"], "left")
+    placed = placed.withColumn("record", F.when(F.col("started") > 0, own).otherwise(F.col("before")))
+    below = ~F.col("starts")
+    place = F.struct("block", "line")
+    records = placed.where(F.col("record").isNotNull()).groupBy("file", "record").agg(
+        F.max(F.when(F.col("starts"), F.col("value"))).alias("value"),
+        F.count_if(below).alias("n_below"),
+        F.max_by("value", F.when(below & (F.trim("value") != ""), place)).alias("last_below"),
+    )
+    return records.where(F.col("value").contains(text)).select("file", "value", "n_below", "last_below")
+
+
 def error_counts(hits: DataFrame) -> DataFrame:
     return hits.groupBy("file").agg(F.count("*").alias("errors"))
 

@@ -48,7 +48,7 @@ def stay_cells(
     The repartition is the shuffle that the second sum needs anyway; it only fixes the number of tasks.
 
     Leads past the window count in all slots, so they share its last lead; cancellations at or before the
-    last snapshot are never on the books and share one mark.
+    last snapshot are never on the books and share one mark. Rows marked `target_only` get a mark of their own, -2.
     """
     amount = F.col(value) if isinstance(value, str) else value
     lead = F.least(F.datediff("stay_date", "confirmation_date"), F.lit(lead_window - 1))
@@ -56,6 +56,8 @@ def stay_cells(
     if "cancellation_date" in bookings.columns:
         days = F.least(F.datediff("stay_date", "cancellation_date"), F.lit(max(snapshots - 1, 0)))
         gone = F.when(F.col("cancellation_date").isNull(), F.lit(-1)).otherwise(days)
+    if "target_only" in bookings.columns:
+        gone = F.when(F.col("target_only"), F.lit(-2)).otherwise(gone)
     summed = (
         bookings.select(*KEYS, lead.alias("lead"), gone.alias("gone"), amount.cast("double").alias("amount"))
         .where((F.col("lead") >= 0) & F.col("HotelID").isNotNull() & F.col("stay_date").isNotNull())

@@ -22,7 +22,9 @@ def _dated(bookings: DataFrame, transactions: DataFrame | None, config: RunConfi
     Row-local cuts come first, so that less is shuffled to meet the transactions.
     """
     kept = clean.preprocess(bookings, config.model_start, config.without_pms)
-    if transactions is not None:
+    if transactions is not None and config.filter_bits:
+        kept = clean.attach_to_candidates(kept, transactions, config.filter_bits)
+    elif transactions is not None:
         kept = clean.attach_cancellations(kept, transactions)
     return clean.fill_no_show(kept, no_show)
 
@@ -34,7 +36,9 @@ def aware_bookings(
     config: RunConfig,
     no_show: str | None = "fill_null",
 ) -> DataFrame:
-    return clean.cancel_aware(_dated(bookings, transactions, config, no_show), lookup)
+    """Rows that features count; with config.targets_by_status also those that targets alone count, so marked."""
+    dated = _dated(bookings, transactions, config, no_show)
+    return (clean.with_status_targets if config.targets_by_status else clean.cancel_aware)(dated, lookup)
 
 
 def confirmed_bookings(
@@ -52,12 +56,14 @@ def stays_from(aware: DataFrame, config: RunConfig, tasks: int | None = None) ->
 
     Confirmed-only bookings are exactly the never-cancelled cells, so targets and cancel-aware features share
     their cells instead of scanning twice and joining. Stays without a confirmed booking have no target and go.
+    Target-only cells leave once the targets are known; a stay without others has no features and goes as well.
     """
     cells = pace.stay_cells(aware, target_column(config.target_type), config.lead_window, config.snapshots, tasks)
     confirmed = A.confirmed_cells(F.col("cells"))
-    return cells.where(F.size(confirmed) > 0).select(
+    seen = A.seen_cells(F.col("cells")) if config.targets_by_status else F.col("cells")
+    return cells.where((F.size(confirmed) > 0) & (F.size(seen) > 0)).select(
         *pace.KEYS,
-        "cells",
+        seen.alias("cells"),
         A.pace_between(confirmed, 0, config.targets).alias("target"),
         A.booked_at(confirmed, 0).alias("total"),
     )

@@ -88,6 +88,12 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
+def read_log_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """As read_logs, with `block`, the offset of the piece of the file that one task reads: a large file is many pieces."""
+    block = F.col("_metadata.file_block_start").alias("block")
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), block, "value")
+
+
 def unknown_hotels(requested: DataFrame, hotels: DataFrame) -> DataFrame:
     """All requested hotels that the dimension does not know."""
     return requested.select("HotelID").distinct().join(hotels, "HotelID", "left_anti")
