@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from checks import views
 from checks.registry import check
-from pacecast.operators import logs
-from pacecast.sources import tables
+from pacecast.operators import logs, pace
+from pacecast.sources import sinks, tables
 
 views.TEXT["log_lines"] = """
 select concat('driver/stderr-', cast(o_custkey % 50 as {S})) as file,
@@ -65,16 +65,20 @@ from {orders}"""
        from traced_lines where value like '%Error encountered when processing hotel%' group by 1, 2, 3, 4, 5""",
 )
 def a09(v):
-    """Text files of many lines, read in small blocks: traces that cross a block's edge stay with their message."""
+    """Text files of many lines, read in small blocks: traces that cross a block's edge stay with their message.
+
+    A task reads many blocks, so that tasks do not grow in number with the lines."""
     path = v.scratch("logs")
     frames = [F.lit("  File job.py"), F.concat(F.lit("KeyError: "), F.col("id").cast("string"))]
     trace = F.when(F.col("n_trace") == 1, F.concat_ws("\n", "value", frames[1])).when(
         F.col("n_trace") > 1, F.concat_ws("\n", "value", frames[0], frames[1])
     )
     padded = F.when(F.col("n_trace") == 3, F.concat(trace, F.lit("\n \n"))).otherwise(F.coalesce(trace, "value"))
-    v.traced_lines.select("driver", padded.alias("value")).repartition(5, "driver").write.partitionBy("driver").text(path)
+    lines = sinks.rebalance(v.traced_lines.select("driver", padded.alias("value")), "driver")
+    lines.write.partitionBy("driver").text(path)
     small = v.spark.newSession()
     small.conf.set("spark.sql.files.maxPartitionBytes", "16KB")
+    small.conf.set("spark.sql.files.maxPartitionNum", str(pace.work_tasks(v.spark)))
     found = logs.log_records(tables.read_log_blocks(small, path))
     day, hotel = F.substring("value", 1, 10).alias("logged_on"), F.regexp_extract("value", logs.ERROR_PATTERN, 1).alias("HotelID")
     driver = F.regexp_extract("file", "driver=([0-9]+)", 1).alias("driver")

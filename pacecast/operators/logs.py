@@ -7,6 +7,7 @@ from datetime import datetime
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,25 +37,55 @@ def error_lines(
     return hits
 
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines in reading order with `line` and `started`: how many lines and record starts their block had up to them."""
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of lines of one record and block, summed up: those whose first line is a hit, and those without a first line.
+
+    `place` counts the record starts of the block up to the run, 0 above the first one; `line` is the run's last line.
+    A run that goes on in the next batch has its rest there, without a first line, under the same place.
+    """
     at, lines, starts = None, 0, 0
     for batch in batches:
-        if not batch.num_rows:
+        size = batch.num_rows
+        if not size:
             continue
-        own = np.array(batch.column("starts").to_pylist(), np.int64)
-        keys = list(zip(batch.column("file").to_pylist(), batch.column("block").to_pylist()))
-        line, started = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
-        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-        for a, b in zip(cuts, cuts[1:]):
-            if keys[a] != at:
-                at, lines, starts = keys[a], 0, 0
-            line[a:b] = lines + np.arange(1, b - a + 1)
-            started[a:b] = starts + np.cumsum(own[a:b])
-            lines, starts = int(line[b - 1]), int(started[b - 1])
+        file, block = batch.column("file"), pc.fill_null(batch.column("block"), -1).to_numpy()
+        first, filled, hit = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("starts", "filled", "hit"))
+        names = file.dictionary_encode("encode").indices.to_numpy()
+        new = np.ones(size, bool)
+        new[1:] = (names[1:] != names[:-1]) | (block[1:] != block[:-1])
+        if at == (file[0].as_py(), block[0]):
+            new[0] = False
+        else:
+            lines = starts = 0
+        own = np.cumsum(new)  # 0: the block that the last batch ended in
+        began = np.concatenate([[-lines], np.flatnonzero(new)])[own]
+        line = np.arange(size) - began + 1
+        counted = np.cumsum(first)
+        before = np.concatenate([[-starts], (counted - first)[new]])[own]
+        place = counted - before
+
+        head = first | new
+        head[0] = True
+        cuts = np.flatnonzero(head)
+        ends = np.append(cuts[1:], size) - 1
+        below = ends - cuts + 1 - first[cuts]
+        last = np.maximum.reduceat(np.where(filled & ~first, np.arange(size), -1), cuts)
+        at, lines, starts = (file[size - 1].as_py(), block[-1]), int(line[-1]), int(place[-1])
+
+        kept = hit[cuts] | ~first[cuts]
+        cuts, ends, below, last = cuts[kept], ends[kept], below[kept], last[kept]
+        value = batch.column("value")
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("file", "block", "starts", "value")), pa.array(line), pa.array(started)],
-            names=["file", "block", "starts", "value", "line", "started"],
+            [
+                file.take(pa.array(cuts)),
+                batch.column("block").take(pa.array(cuts)),
+                pa.array(place[cuts]),
+                pa.array(line[ends]),
+                value.take(pa.array(cuts, mask=~first[cuts])),
+                pa.array(below.astype(np.int64)),
+                value.take(pa.array(last, mask=last < 0)),
+            ],
+            names=["file", "block", "place", "line", "value", "n_below", "last_below"],
         )
 
 
@@ -65,29 +96,31 @@ def log_records(blocks: DataFrame, text: str = ERROR_TEXT) -> DataFrame:
     A record starts at a line with a time stamp and goes on to the next one. A file is read in blocks by many tasks, so
     a trace may begin in one block and end in a later one: each block counts its own record starts, and lines above a
     block's first start belong to the last start of the nearest earlier block that has one, which a small table of
-    the blocks tells. No task sees more than its blocks, and a task sums up its lines by record before they move. Lines above a
-    file's first record belong to none.
+    the blocks tells. No task sees more than its blocks, and a task sums up its lines by record before they move: records
+    that hold `text`, and the lines above a block's first start, are all that does. Lines above a file's first record
+    belong to none.
     """
     starts = F.coalesce(F.col("value").rlike(TIME_PATTERN), F.lit(False)).alias("starts")
-    numbered = blocks.select("file", "block", starts, "value").mapInArrow(
-        _number, "file string, block long, starts boolean, value string, line long, started long"
+    filled = F.coalesce(F.trim("value") != "", F.lit(False)).alias("filled")
+    hit = (starts & F.col("value").contains(text)).alias("hit")
+    pieces = blocks.select("file", "block", starts, filled, hit, "value").mapInArrow(
+        _pieces, "file string, block long, place long, line long, value string, n_below long, last_below string"
     )
     # Starts are counted off the lines themselves, so this table and the lines agree however the blocks are dealt out.
     ends = blocks.select("file", "block", starts).groupBy("file", "block").agg(F.count_if("starts").alias("n"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     owner = F.struct(F.col("block").alias("home"), F.col("n").alias("place"))
     carried = ends.select("file", "block", F.last(F.when(F.col("n") > 0, owner), ignorenulls=True).over(earlier).alias("before"))
-    own = F.struct(F.col("block").alias("home"), F.col("started").alias("place"))
-    placed = numbered.join(carried, ["file", "block"], "left")
-    placed = placed.withColumn("record", F.when(F.col("started") > 0, own).otherwise(F.col("before")))
-    below = ~F.col("starts")
-    place = F.struct("block", "line")
+    own = F.struct(F.col("block").alias("home"), "place")
+    placed = pieces.join(carried, ["file", "block"], "left")
+    placed = placed.withColumn("record", F.when(F.col("place") > 0, own).otherwise(F.col("before")))
+    at = F.struct("block", "line")
     records = placed.where(F.col("record").isNotNull()).groupBy("file", "record").agg(
-        F.max(F.when(F.col("starts"), F.col("value"))).alias("value"),
-        F.count_if(below).alias("n_below"),
-        F.max_by("value", F.when(below & (F.trim("value") != ""), place)).alias("last_below"),
+        F.max("value").alias("value"),
+        F.sum("n_below").alias("n_below"),
+        F.max_by("last_below", F.when(F.col("last_below").isNotNull(), at)).alias("last_below"),
     )
-    return records.where(F.col("value").contains(text)).select("file", "value", "n_below", "last_below")
+    return records.where(F.col("value").isNotNull()).select("file", "value", "n_below", "last_below")
 
 
 def error_counts(hits: DataFrame) -> DataFrame:

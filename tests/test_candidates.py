@@ -134,3 +134,50 @@ def test_log_records_cross_blocks(spark, tmp_path):
         for name in ("one", "two"):
             own = sorted(((r.value, r.n_below, r.last_below) for r in got if r.file.endswith(name)), key=str)
             assert own == sorted(want, key=str)
+
+
+def test_log_blocks_share_tasks(spark):
+    """Many blocks in one task, batches that end inside a trace, null lines."""
+    rng, want, rows = random.Random(2), [], []
+    for i in range(400):
+        kind = rng.choice([logs.ERROR_TEXT, "fine", "fine"])
+        message = f"2024-01-01 10:00:00,1 - {kind} {i}: x"
+        below = [rng.choice(["  at", "", " ", "\t", f"KeyError {i}", None]) for _ in range(rng.choice([0, 0, 1, 3, 30]))]
+        rows += [message, *below]
+        if kind == logs.ERROR_TEXT:
+            filled = [b for b in below if b is not None and b.strip(" ")]
+            want.append((message, len(below), filled[-1] if filled else None))
+    text = [(file, i // 7 * 100, line) for file in ("one", "two") for i, line in enumerate(["none", *rows])]
+    blocks = spark.createDataFrame(text, "file string, block long, value string").coalesce(1)
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("5", "11", held):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = logs.log_records(blocks).collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+        for file in ("one", "two"):
+            assert sorted(((r.value, r.n_below, r.last_below) for r in got if r.file == file), key=str) == sorted(want, key=str)
+
+
+def test_log_records_tasks_are_bounded(spark, tmp_path, monkeypatch):
+    """a09 reads its blocks in at most the tasks that the session works with, however many blocks there are."""
+    from checks import q_logs
+    from checks.registry import Inputs
+
+    read, parts = tables.read_log_blocks, []
+
+    def counted(session, path):
+        blocks = read(session, path)
+        parts.append((blocks.select("file", "block").distinct().count(), blocks.rdd.getNumPartitions()))
+        return blocks
+
+    monkeypatch.setattr(q_logs.tables, "read_log_blocks", counted)
+    monkeypatch.setattr(q_logs.pace, "work_tasks", lambda spark: 3)
+    lines = spark.range(3000).selectExpr(
+        "cast(id % 2 as string) as driver", "id", "0 as n_trace", "concat('2024-01-01 10:00:00 - fine ', repeat('x', 50)) as value"
+    )
+    v = Inputs(spark, "")
+    v.traced_lines, v.scratch = lines, lambda name: f"file://{tmp_path}/{name}"
+    assert q_logs.a09(v).count() == 0
+    assert parts[0][0] > 6 and parts[0][1] <= 3
