@@ -14,6 +14,7 @@ from checks.registry import check, rounded
 from pacecast.config import RunConfig
 from pacecast.functions import arrays as A
 from pacecast.operators import exclude, kept, results
+from pacecast.operators.pace import KEYS
 from pacecast.plans import inference, training
 from pacecast.sources import sinks, tables
 
@@ -21,8 +22,12 @@ PERIODS = (date(1996, 6, 30), date(1996, 7, 1), date(1996, 7, 2), date(2100, 1,
 
 
 def recorded(v) -> str:
-    """A folder of kept cells: a base, two days, all that came later; the second day is recorded twice."""
-    path, rows, after = v.scratch("kept"), aware(v), None
+    """A folder of kept cells: a base, two days, all that came later; the second day is recorded twice.
+
+    The bookings meet their orders and cancellations once, not once a period.
+    """
+    rows = aware(v).select(*KEYS, "confirmation_date", "cancellation_date", *kept.AMOUNTS[1:])
+    path, rows, after = v.scratch("kept"), sinks.stage(rows, v.scratch("aware")), None
     for through in PERIODS:
         kept.record(kept.changes(rows, after, through), path, through)
         if through == PERIODS[2]:
