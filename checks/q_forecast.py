@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.q_pace import KEPT_SQL, booked_span, holidays, stays_plan
 from checks.q_rows import CONFIG, aware, confirmed
-from checks.registry import check, off_edge, r6, rounded
+from checks.registry import Inputs, check, off_edge, r6, rounded
 from pacecast.config import FarFieldConfig, RunConfig
 from pacecast.operators import clean, features, monitor, predict, repair, results, versions
 from pacecast.plans import backtest, farfield, inference, monitoring, training
@@ -564,7 +564,17 @@ def m02_constant(v):
     return params.select(*POINT, *values)
 
 
+def attached(v):
+    """v with its bookings and their cancellation dates staged: what reads them several times meets orders and cancellations
+    once."""
+    out = Inputs(v.spark, v.sf_dir)
+    dated = clean.attach_cancellations(v.bookings, v.transactions).drop("TransactionID")
+    out.bookings, out.transactions = sinks.stage(dated, v.scratch("attached")), None
+    return out
+
+
 def recursive_forecast(v):
+    v = attached(v)
     params = training.train(stays_plan(v, ORIGIN, FULL_PATH, calendar_features=True), FULL_PATH, "linear")
     params = sinks.stage(params, v.scratch("path-params"))
     days_off = holidays(v, *booked_span(v))

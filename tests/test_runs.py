@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from checks import q_rows, q_runs
+from checks import q_forecast, q_rows, q_runs
 from checks.registry import Inputs
 from pacecast.operators import exclude, kept, predict, results
 from pacecast.plans import inference
@@ -163,3 +163,22 @@ def test_kept_periods_read_bookings_that_met_their_cancellations_once(spark, tmp
     whole = changes(q_rows.aware(v), None, q_runs.PERIODS[-1])
     assert joins(q_rows.aware(v)) == 1 and len(read) == 5 and not any(map(joins, read))
     assert D.rows_of(kept.state(spark, path), *columns) == D.rows_of(whole, *columns)
+
+
+def test_recursive_forecast_reads_bookings_that_met_their_cancellations_once(spark, tmp_path, monkeypatch):
+    v, read = joined_inputs(spark, tmp_path), []
+    held = q_forecast.attached(v)
+    columns = ("HotelID", "stay_date", "confirmation_date", "cancellation_date", "channel", "status", "revenue", "rooms")
+    values = lambda df: sorted(map(tuple, df.select(*columns).collect()), key=str)
+    for of in (q_rows.aware, q_rows.confirmed):
+        assert joins(of(v)) == 1 and joins(of(held)) == 0
+        assert values(of(held)) == values(of(v))
+
+    def seen(asked, *_, **__):
+        read.append(asked)
+        raise InterruptedError
+
+    monkeypatch.setattr(q_forecast, "stays_plan", seen)
+    with pytest.raises(InterruptedError):
+        q_forecast.recursive_forecast(v)
+    assert read[0].transactions is None and joins(q_rows.aware(read[0])) == 0
